@@ -8,3 +8,10 @@ Sub-packages
 ``streaming``  chat events answered per micro-batch
 ``plans``      the registered queries and the SQL they are checked against
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with their tasks, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

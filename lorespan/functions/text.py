@@ -24,10 +24,18 @@ SENTENCE = r"[^.!?。！？\n]+"
 
 def tokens(text: Column, mode: str = "ws") -> Column:
     """Tokens of a text: white-space runs (``ws``) or single code points (``char``)."""
+    return F.regexp_extract_all(text, F.lit(_token_pattern(mode)), F.lit(0))
+
+
+def has_token(text: Column, mode: str = "ws") -> Column:
+    return text.rlike(_token_pattern(mode))
+
+
+def _token_pattern(mode: str) -> str:
     patterns = {"ws": WHITESPACE_TOKEN, "char": CHARACTER_TOKEN}
     if mode not in patterns:
         raise ValueError(f"unknown token mode {mode!r}")
-    return F.regexp_extract_all(text, F.lit(patterns[mode]), F.lit(0))
+    return patterns[mode]
 
 
 def separator(mode: str) -> str:

@@ -6,19 +6,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 16
+HOT_ROWS = 1_000_000
+MOST_HOT_KEYS = 10_000
 SMALL_TABLE_ROWS = 10_000
 
 
-def salted_lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", salts: int = SALTS) -> DataFrame:
-    """``left JOIN right`` where ``right`` has one row per key and ``left`` may have a hot key.
-
-    The rows of a key on the left are spread over ``salts`` partitions by the hash of the row; each
-    row on the right is repeated once per salt. A key that holds a third of the left side then costs
-    a task a third / ``salts`` of it. Spark may still broadcast the right side where it is small.
+def salted_lookup(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    spread_by: list[str],
+    how: str = "left",
+    salts: int = SALTS,
+) -> DataFrame:
+    """``left JOIN right`` for a narrow ``right`` with one row per key.
+
+    The rows of a key on the left are spread over ``salts`` partitions by the hash of ``spread_by``,
+    columns that tell the rows of one key apart; each row on the right is repeated once per salt. A
+    key that holds a third of the left side then costs a task a third / ``salts`` of it. Spark may
+    still broadcast the right side where it is small.
     """
-    spread = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return left.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def hot_key_lookup(
+    left: DataFrame,
+    right: DataFrame,
+    on: str,
+    counts: DataFrame,
+    spread_by: list[str],
+    how: str = "left",
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``left JOIN right`` for a wide ``right`` with one row per key: only hot keys are salted.
+
+    ``counts`` holds ``on, n``, the rows per key on the left. A key is hot above ``hot_rows`` rows and
+    above one part in ``MOST_HOT_KEYS`` of all rows, so there are never more than ``MOST_HOT_KEYS``
+    of them and the broadcast list of hot keys is bounded. All other keys join unsalted, once.
+    """
+    total = counts.agg(F.sum("n")).scalar()
+    part = F.greatest(F.lit(float(hot_rows)), total / F.lit(float(MOST_HOT_KEYS)))
+    hot = F.broadcast(
+        counts.filter(F.col("n") > part).select(F.col(on), F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias("_parts"))
+    )
+    parts = F.coalesce("_parts", F.lit(1))
+    left = left.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread_by), parts).cast("int"))
+    right = right.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return left.drop("_parts").join(right.drop("_parts"), [on, "_salt"], how).drop("_salt")
 
 
 def rows_if_small(table: DataFrame, limit: int = SMALL_TABLE_ROWS) -> list | None:

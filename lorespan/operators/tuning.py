@@ -18,24 +18,28 @@ _HISTOGRAM_DIGITS = 4
 
 
 def turn_pairs(conversations: DataFrame) -> DataFrame:
-    """``example_id, conv_id, turn, instruction, context, response`` from ``conv_id, turn, role, text``.
+    """``example_id, conv_id, turn, instruction, response`` from ``conv_id, turn, role, text``.
 
-    A user turn is paired with the assistant turn right after it; the conversation's first system
-    turn is its context. Pairing joins on (conversation, turn), which is unique, so a conversation
-    of any length spreads over all partitions; a window over the conversation would not.
+    A user turn is paired with the assistant turn right after it. Pairing joins on (conversation,
+    turn), which is unique, so a conversation of any length spreads over all partitions; a window
+    over the conversation would not.
     """
     said = conversations.select("conv_id", "turn", "text")
     users = said.filter(conversations["role"] == "user").withColumnRenamed("text", "instruction")
     replies = said.filter(conversations["role"] == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")
     )
+    return users.join(replies, ["conv_id", "turn"]).select(
+        F.concat_ws("-", "conv_id", "turn").alias("example_id"), "conv_id", "turn", "instruction", "response"
+    )
+
+
+def with_contexts(pairs: DataFrame, conversations: DataFrame) -> DataFrame:
+    """Add ``context``: the first system turn of the conversation, null where there is none."""
     contexts = (
         conversations.filter("role = 'system'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("context"))
     )
-    pairs = users.join(replies, ["conv_id", "turn"])
-    return salted_lookup(pairs, contexts, ["conv_id"]).select(
-        F.concat_ws("-", "conv_id", "turn").alias("example_id"), "conv_id", "turn", "instruction", "context", "response"
-    )
+    return salted_lookup(pairs, contexts, ["conv_id"], ["turn"])
 
 
 def training_texts(examples: DataFrame) -> DataFrame:
@@ -111,10 +115,9 @@ def exact_split(
         .select("digits", (F.col("wanted") - (F.col("upto") - F.col("n"))).alias("place"))
     )
 
-    ranked = hashed.filter(F.col("digits") == edge.select("digits").scalar()).select(
-        "hash", "key", F.row_number().over(Window.orderBy("hash", "key")).alias("place")
-    )
-    last = ranked.filter(F.col("place") == edge.select("place").scalar()).select(F.struct("hash", "key").alias("last"))
+    # One edge row at most, so broadcasting it is safe; the rest of the table does not take part.
+    ranked = hashed.join(F.broadcast(edge), "digits").withColumn("at", F.row_number().over(Window.orderBy("hash", "key")))
+    last = ranked.filter(F.col("at") == F.col("place")).select(F.struct("hash", "key").alias("last"))
     inside = F.struct(F.md5(order_key).alias("hash"), F.col(key).alias("key")) <= last.scalar()
     return df.withColumn("split", F.when(inside, "test").otherwise("train"))
 

@@ -117,7 +117,8 @@ def chunk_characters(spark, folder):
 
 @query
 def chunk_counts(spark, folder):
-    return chunk.chunk_counts(_demo_chunks(spark, folder))
+    documents = spread(_sources(spark, folder), "doc_id")
+    return chunk.count_chunks(documents, "response", fixed.DEMO_CHUNK_SIZE, fixed.DEMO_CHUNK_OVERLAP)
 
 
 @query
@@ -156,7 +157,7 @@ def knn_vectors(spark, folder):
 def vector_distances(spark, folder):
     all_vectors = tables.test_table(spark, folder, "embeddings")
     anchors = all_vectors.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("anchor"))
-    both = salted_lookup(all_vectors, anchors, ["label"])
+    both = salted_lookup(all_vectors, anchors, ["label"], ["vec_id"])
     return both.select(
         "vec_id",
         F.round(vectors.squared_l2(F.col("embedding"), F.col("anchor")), 6).alias("squared_l2"),
@@ -312,7 +313,12 @@ def serving_prompts(spark, folder):
 
 
 def _pairs(spark, folder):
-    return tuning.turn_pairs(_conversations(spark, folder))
+    turns = _conversations(spark, folder)
+    return tuning.with_contexts(tuning.turn_pairs(turns), turns)
+
+
+def _example_ids(spark, folder):
+    return tuning.turn_pairs(_conversations(spark, folder)).select("example_id")
 
 
 @query
@@ -333,12 +339,12 @@ def sft_tokens(spark, folder):
 
 @query
 def sft_split(spark, folder):
-    return tuning.exact_split(_pairs(spark, folder).select("example_id"), "example_id", TEST_FRACTION)
+    return tuning.exact_split(_example_ids(spark, folder), "example_id", TEST_FRACTION)
 
 
 @query
 def split_complement(spark, folder):
-    examples = _pairs(spark, folder).select("example_id")
+    examples = _example_ids(spark, folder)
     chosen = tuning.exact_split(examples, "example_id", TEST_FRACTION).filter("split = 'test'")
     test, train = tuning.complement(examples, chosen, "example_id")
     return test.withColumn("part", F.lit("test")).unionByName(train.withColumn("part", F.lit("train")))
@@ -368,7 +374,7 @@ def collate_batches(spark, folder):
 
 def _eval_results(spark, folder):
     """Two runs over the same questions: one refuses answers with a phrase, the other none."""
-    pairs = _pairs(spark, folder)
+    pairs = tuning.turn_pairs(_conversations(spark, folder))
     good = txt.is_good_answer(F.col("response"), PHRASES)
 
     def run(run_id, keep):
