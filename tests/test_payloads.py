@@ -1,0 +1,62 @@
+import json
+
+from pyspark.sql import functions as F
+
+from lorespan.functions import payload
+from lorespan.sources import requests
+
+
+def bodies(spark, rows):
+    return spark.createDataFrame(rows, "request_id string, body string")
+
+
+def test_both_request_forms(spark):
+    rows = [
+        ("a", json.dumps({"inputs": {"question": ["q1", "レイクハウスとは？"]}}, ensure_ascii=False)),
+        ("b", json.dumps({"dataframe_split": {"index": [0, 1], "columns": ["id", "question"], "data": [["7", "q3"], ["8", "q4"]]}})),
+        ("c", json.dumps({"inputs": {"question": []}})),
+        ("d", '{"inputs": {"question": ["q'),
+        ("e", json.dumps({"dataframe_split": {"columns": ["other"], "data": [["x"]]}})),
+        ("f", None),
+    ]
+    good, bad = requests.parse_requests(bodies(spark, rows))
+    got = sorted((r["request_id"], r["pos"], r["question"]) for r in good.collect())
+    assert got == [("a", 0, "q1"), ("a", 1, "レイクハウスとは？"), ("b", 0, "q3"), ("b", 1, "q4")]
+    assert sorted(r["request_id"] for r in bad.collect()) == ["d", "e", "f"]
+
+
+def test_request_round_trip(spark):
+    df = spark.createDataFrame([("a", ["x", 'say "hi"\n']), ("b", [])], "request_id string, qs array<string>")
+    for form in (payload.column_request, payload.split_request):
+        made = df.select("request_id", form(F.col("qs")).alias("body"))
+        good, bad = requests.parse_requests(made)
+        assert [r["question"] for r in good.orderBy("pos").collect()] == ["x", 'say "hi"\n']
+        assert bad.count() == 0
+    assert json.loads(df.select(payload.split_request(F.col("qs"))).first()[0]) == {
+        "dataframe_split": {"index": [0, 1], "columns": ["question"], "data": [["x"], ['say "hi"\n']]}
+    }
+
+
+def test_responses_keep_order_and_nulls(spark):
+    rows = [("a", p, f"answer {p}" if p != 3 else None, "s", None) for p in (10, 2, 3)]
+    df = spark.createDataFrame(rows, "request_id string, pos int, answer string, source string, output_metadata string")
+    out = requests.format_responses(df.repartition(3))
+    body = json.loads(out.first()["body"])
+    assert [p["answer"] for p in body["predictions"]] == ["answer 2", None, "answer 10"]
+    assert body["predictions"][0] == {"answer": "answer 2", "source": "s", "output_metadata": None}
+    assert tuple(requests.first_predictions(out).first()) == ("a", "answer 2", "s")
+
+
+def test_empty_prediction_list(spark):
+    df = bodies(spark, [("a", '{"predictions": []}'), ("b", "nonsense")])
+    assert {tuple(r) for r in requests.first_predictions(df).collect()} == {("a", None, None), ("b", None, None)}
+
+
+def test_status_routing(spark):
+    df = spark.createDataFrame([(200, "ok"), (500, "boom"), (None, None)], "status int, body string")
+    ok, failed = requests.route_status(df)
+    assert [r["body"] for r in ok.collect()] == ["ok"]
+    assert {r["error"] for r in failed.collect()} == {
+        "Request failed with status 500, boom",
+        "Request failed with status None, ",
+    }

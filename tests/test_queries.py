@@ -1,0 +1,39 @@
+import pytest
+
+import __spark_entry__ as entry
+import check
+
+
+@pytest.fixture(scope="module")
+def db(folder):
+    return check.open_tables(folder)
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_query_matches_sql(spark, db, folder, name):
+    same, note = check.compare(spark, db, folder, name)
+    assert same, note
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() == 48
+
+
+PLAIN_PLANS = ["chunk_documents", "first_good_answer", "filter_bad_answers", "sft_split", "sft_pairs", "retrieve_documents", "answer_questions"]
+
+
+@pytest.mark.parametrize("name", PLAIN_PLANS)
+def test_no_pairwise_joins(spark, folder, name):
+    plan = entry.queries()[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_scans_are_pruned_and_filtered(spark, folder):
+    plan = entry.queries()["filter_bad_answers"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(role,assistant)" in plan
+    plan = entry.queries()["latest_version"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<doc_id:bigint,source:string>" in plan
