@@ -314,7 +314,7 @@ def serving_prompts(spark, folder):
 
 def _pairs(spark, folder):
     turns = _conversations(spark, folder)
-    return tuning.with_contexts(tuning.turn_pairs(turns), turns)
+    return tuning.with_contexts(tuning.turn_pairs(spread(turns, "conv_id", "turn")), turns)
 
 
 def _example_ids(spark, folder):

@@ -67,14 +67,17 @@ def slots(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
+def spread(scan: DataFrame, *key: str) -> DataFrame:
     """Give a file scan at least one partition per core.
 
     A table of a few megabytes reads as one or two partitions, which would leave all but one core
     idle during chunking and embedding. A scan that already has a partition per core (every large
-    table) passes through untouched, so nothing big is ever shuffled here. ``key`` must be unique.
+    table) passes through untouched, so nothing big is ever shuffled here. So does a plan with a
+    shuffle of its own. ``key`` must be unique.
     """
+    if "Exchange" in scan._jdf.queryExecution().executedPlan().toString():
+        return scan
     wanted = slots(scan.sparkSession)
     if scan.rdd.getNumPartitions() >= wanted:
         return scan
-    return scan.repartition(wanted, key)
+    return scan.repartition(wanted, *key)
