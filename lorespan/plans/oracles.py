@@ -154,6 +154,14 @@ _lang_cases = (
     "CASE WHEN list_contains(codes, upper(r)) THEN upper(r) || ' (language ' || upper(r) || ')' ELSE r END)"
 )
 
+_knn_vectors = f"""
+    WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+    n AS (SELECT *, list_inner_product(v, v) AS n2 FROM e),
+    near AS (SELECT a.vec_id AS query_id, b.vec_id, {MICROS} AS micros FROM n a CROSS JOIN n b)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY micros, vec_id) AS INTEGER) AS rank,
+           vec_id, micros / 1000000.0::DOUBLE AS distance
+    FROM near QUALIFY rank <= {fixed.HITS_PER_QUESTION}"""
+
 SQL: dict[str, str] = {
     "source_count": "SELECT count(*) AS n_rows FROM documents",
     "project_sources": "SELECT doc_id, text AS response, source FROM documents",
@@ -179,13 +187,8 @@ SQL: dict[str, str] = {
     "build_index": f"""
         WITH {INDEX} SELECT chunk_id, doc_id, chunk_no, source, CAST(length(response) AS INTEGER) AS n_chars,
           round(n2, 6) AS norm FROM ix""",
-    "knn_vectors": f"""
-        WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
-        n AS (SELECT *, list_inner_product(v, v) AS n2 FROM e),
-        near AS (SELECT a.vec_id AS query_id, b.vec_id, {MICROS} AS micros FROM n a CROSS JOIN n b)
-        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY micros, vec_id) AS INTEGER) AS rank,
-               vec_id, micros / 1000000.0::DOUBLE AS distance
-        FROM near QUALIFY rank <= {fixed.HITS_PER_QUESTION}""",
+    "knn_vectors": _knn_vectors,
+    "knn_vectors_by_blocks": _knn_vectors,
     "vector_distances": """
         WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
         anchors AS (SELECT label, arg_min(v, vec_id) AS a FROM e GROUP BY label)

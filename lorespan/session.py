@@ -51,6 +51,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/lorespan/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the scratch folder. Call when no result is needed any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark).rstrip('/')}/lorespan/{spark.sparkContext.applicationId}")
+    path.getFileSystem(conf).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back.
 

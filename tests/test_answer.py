@@ -121,10 +121,21 @@ def test_dictionary_table_both_ways(spark):
 
 
 def test_phrase_table_both_ways(spark):
-    rows = [(1, "all fine"), (2, "I am SORRY, no"), (3, None), (4, ""), (5, "so"), (6, "not known here")]
+    rows = [(1, "all fine"), (2, "I am SORRY, no"), (3, None), (4, ""), (5, "so"), (6, "not known here"), (7, "a知りません"), (8, "ends in sor")]
     df = spark.createDataFrame(rows, "id long, answer string")
-    phrases = spark.createDataFrame([("sorry",), ("known",), ("abcdefghijklmnop",)], "phrase string")
+    phrases = spark.createDataFrame([("sorry",), ("known",), ("知りません",), ("abcdefghijklmnop",), ("",), (None,)], "phrase string")
     small = answer.reject_by_table(df, phrases, "id")
     large = answer.reject_by_table(df, phrases, "id", limit=1)
-    assert sorted(r["id"] for r in small.collect()) == [1, 4, 5]
-    assert sorted(r["id"] for r in large.collect()) == [1, 4, 5]
+    assert sorted(r["id"] for r in small.collect()) == [1, 4, 5, 8]
+    assert sorted(r["id"] for r in large.collect()) == [1, 4, 5, 8]
+
+
+def test_phrase_join_on_a_table(spark, folder):
+    from lorespan.plans import queries
+
+    said = queries._said(spark, folder).withColumn("turn_id", queries._turn_id())
+    opening = F.lower(F.regexp_extract("text", r"^[^ \n]+ [^ \n]+", 0))
+    phrases = spark.read.parquet(f"{folder}/benchmark.parquet").select(opening.alias("phrase"))
+    joined = answer.reject_by_table(said, phrases, "turn_id", limit=1).select("turn_id").collect()
+    literal = answer.reject_by_table(said, phrases, "turn_id").select("turn_id").collect()
+    assert sorted(joined) == sorted(literal)

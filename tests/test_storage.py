@@ -1,3 +1,4 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -5,7 +6,8 @@ from pyspark.sql import functions as F
 
 from lorespan import schemas
 from lorespan.operators import evaluate
-from lorespan.session import materialize, scratch_root
+from lorespan.plans import queries
+from lorespan.session import clear_scratch, materialize, scratch_path, scratch_root
 from lorespan.sources import index_store, tables, versions
 
 
@@ -121,3 +123,12 @@ def test_local_scratch_folder_is_made_once():
 
 def test_materialized_rows(spark):
     assert sorted(r["id"] for r in materialize(spark.range(3), "x").collect()) == [0, 1, 2]
+
+
+def test_clearing_the_scratch_folder(spark):
+    before = scratch_path(spark, "x")
+    materialize(spark.range(3), "x")
+    clear_scratch(spark)
+    queries._INDEX_PATHS.clear()
+    assert not Path(before).parent.exists()
+    assert materialize(spark.range(3), "x").count() == 3
