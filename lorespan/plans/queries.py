@@ -15,7 +15,7 @@ from lorespan.functions import payload, vectors
 from lorespan.functions import text as txt
 from lorespan.operators import answer, chunk, embed, evaluate, generate, knn, retrieve, tuning
 from lorespan.operators.lookup import salted_lookup
-from lorespan.session import materialize, scratch_path, spread
+from lorespan.session import scratch_path, spread
 from lorespan.sources import index_store, requests, tables, versions
 from lorespan.streaming import chat
 

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _LOCAL_ROOTS: dict[str, str] = {}
+_SCOPES = threading.local()
 
 
 def get_spark(app: str = "lorespan", master: str | None = None, **conf: str) -> SparkSession:
@@ -47,15 +51,41 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark).rstrip('/')}/lorespan/{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{_scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    for paths in getattr(_SCOPES, "open", []):
+        paths.append(path)
+    return path
+
+
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark).rstrip('/')}/lorespan/{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote to the scratch folder. Call when no result is needed any more."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark).rstrip('/')}/lorespan/{spark.sparkContext.applicationId}")
-    path.getFileSystem(conf).delete(path, True)
+    _delete(spark, _scratch_folder(spark))
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what the calling thread wrote to the scratch folder inside the block.
+
+    For work that repeats without end, such as the micro-batches of a stream.
+    """
+    scopes = _SCOPES.__dict__.setdefault("open", [])
+    paths: list[str] = []
+    scopes.append(paths)
+    try:
+        yield
+    finally:
+        scopes.remove(paths)
+        for path in paths:
+            _delete(spark, path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

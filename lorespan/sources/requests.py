@@ -36,7 +36,7 @@ def first_predictions(responses: DataFrame, key: str = "request_id", body: str =
 def route_status(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Responses with status 200, and the rest with an error text."""
     ok = F.coalesce(F.col("status") == 200, F.lit(False))
-    failed = scored.filter(~ok).withColumn(
-        "error", F.concat(F.lit("Request failed with status "), F.coalesce(F.col("status").cast("string"), F.lit("None")), F.lit(", "), F.coalesce("body", F.lit("")))
-    )
+    status = F.coalesce(F.col("status").cast("string"), F.lit("None"))
+    error = F.concat(F.lit("Request failed with status "), status, F.lit(", "), F.coalesce("body", F.lit("")))
+    failed = scored.filter(~ok).withColumn("error", error)
     return scored.filter(ok), failed

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lorespan.functions import text as txt
-from lorespan.operators import answer
+from lorespan.operators import answer, retrieve
 from lorespan.sources import index_store
 
 DOCS = [
@@ -139,3 +139,12 @@ def test_phrase_join_on_a_table(spark, folder):
     joined = answer.reject_by_table(said, phrases, "turn_id", limit=1).select("turn_id").collect()
     literal = answer.reject_by_table(said, phrases, "turn_id").select("turn_id").collect()
     assert sorted(joined) == sorted(literal)
+
+
+def test_texts_of_many_hits(spark, index, monkeypatch):
+    """Beyond the broadcast limit the texts come through a shuffle join; the result is the same."""
+    asked = questions(spark, ["cats", "tables", "streams"])
+    few = sorted(map(tuple, retrieve.retrieve(asked, index, 2).collect()))
+    monkeypatch.setattr(retrieve, "BROADCAST_HITS", 0)
+    assert sorted(map(tuple, retrieve.retrieve(asked, index, 2).collect())) == few
+    assert len(few) == 6
