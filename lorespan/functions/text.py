@@ -151,10 +151,18 @@ def is_good_answer(answer: Column, phrases: Sequence[str] | None = None) -> Colu
     """True unless the answer is null or contains, in lower case, one of the phrases. Never null."""
     phrases = fixed.REFUSAL_PHRASES if phrases is None else phrases
     lowered = F.lower(answer)
-    refused = reduce(lambda so_far, phrase: so_far | lowered.contains(phrase), phrases, F.lit(False))
+    refused = _any_of([lowered.contains(phrase) for phrase in phrases])
     return answer.isNotNull() & ~F.coalesce(refused, F.lit(True))
 
 
+def _any_of(conditions: list[Column]) -> Column:
+    """OR as a balanced tree: a long chain would nest too deeply for the optimizer."""
+    while len(conditions) > 1:
+        pairs = zip(conditions[::2], conditions[1::2])
+        conditions = [a | b for a, b in pairs] + conditions[len(conditions) // 2 * 2 :]
+    return conditions[0] if conditions else F.lit(False)
+
+
 # -- names --------------------------------------------------------------------------------------
 
 

@@ -69,6 +69,14 @@ def test_phrases_are_a_parameter(spark):
     assert len(fixed.REFUSAL_PHRASES) == 18
 
 
+@pytest.mark.parametrize("count", [0, 1, 2, 3, 999])
+def test_any_number_of_phrases(spark, count):
+    phrases = [f"phrase {i}." for i in range(count)]
+    assert one(spark, txt.is_good_answer(F.col("a"), phrases), a="nothing") is True
+    for i in {0, count // 2, count - 1} & set(range(count)):
+        assert one(spark, txt.is_good_answer(F.col("a"), phrases), a=f"A Phrase {i}.") is False
+
+
 def test_question_prompt_keeps_values_as_they_are(spark):
     context, question = r"see {question} and $1 \1 {context}", "why?"
     prompt = one(spark, txt.question_prompt(F.col("c"), F.col("q"), "Example Org"), c=context, q=question)
