@@ -1,4 +1,8 @@
-"""From raw documents to packed training sequences: filter, deduplicate, decontaminate, pack."""
+"""From raw documents to packed training sequences: filter, deduplicate, decontaminate, pack.
+
+Every stage takes what the one before kept. Rows with a null doc_id are scored, deduplicated and packed like others
+where that has a meaning: they stay in the filters and in the deduplication, which can't name them.
+"""
 
 from __future__ import annotations
 
@@ -6,17 +10,51 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lorespan.llm import jaccard_join
+from lorespan.llm import decontaminate, jaccard_join, packing, quality, toxicity
 from lorespan.llm.common import materialize, table
 
 
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` without the rejected ids, in the same columns."""
+    return docs.join(rejected.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity grammar scores one half or more go."""
+    labels = table(spark, sf_dir, "labels").where(~toxicity.held_out())
+    scores = toxicity.score(docs, toxicity.fit(docs, labels))
+    return _without(docs, scores.where("score >= 0.5"))
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifiers score below one half go."""
+    labels = table(spark, sf_dir, "labels").where(~toxicity.held_out())
+    scores = quality.score(docs, quality.fit(docs, labels))
+    return _without(docs, scores.where("score < 0.5"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return jaccard_join.keep_one(docs)
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.where("contaminated"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in bins of the training length."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", clean_language),
+    ("quality_classifier", good_quality),
     ("ngram_jaccard_join", near_duplicates),
+    ("benchmark_decontamination", decontaminated),
+    ("best_fit_packing", packed),
 ]
 
 #: The stages learn, search and pack, which SQL can't express; tests compare them with brute force.
@@ -24,7 +62,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage, from the table ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorespan.session import materialize, slots
+from lorespan.session import materialize, scratch_path
 
 #: Bits of the fixed-size membership filter of ``IdFilter``: 2 MB, whatever the size of the data.
 FILTER_BITS = 1 << 24
@@ -36,6 +37,19 @@ def list_array(values: np.ndarray, lengths: list[int] | np.ndarray, kind: pa.Dat
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
+@contextmanager
+def discarded(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` written to the scratch folder for use inside the block, and deleted after it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def signed(hashes: np.ndarray) -> np.ndarray:
     return hashes.view(np.int64)
 
@@ -76,4 +90,4 @@ class IdFilter:
         return test
 
 
-__all__ = ["IdFilter", "arrow_map", "list_array", "materialize", "signed", "slots", "table"]
+__all__ = ["IdFilter", "arrow_map", "list_array", "discarded", "materialize", "signed", "table"]

@@ -1,3 +1,63 @@
-"""DuckDB SQL for the operator queries that SQL can express."""
+"""DuckDB SQL for the operator queries that SQL can express on whole tables."""
 
-SQL: dict[str, str] = {}
+_WARC = """
+WITH p AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), d AS (
+    SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest FROM p
+), f AS (
+    SELECT payload_digest, min(page_id) AS first_id FROM d WHERE payload_bytes >= 100 GROUP BY 1
+)
+SELECT page_id, payload_bytes, d.payload_digest,
+       CASE WHEN first_id IS NULL OR first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM d LEFT JOIN f USING (payload_digest)
+"""
+
+_LEAKS = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), i AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), iw AS (
+    SELECT DISTINCT item_id, CASE WHEN len(w) >= 10 THEN w[k : k + 9] ELSE w END AS win
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM i WHERE len(w) > 0)
+), widths AS (
+    SELECT DISTINCT len(win) AS n FROM iw
+), dw AS (
+    SELECT doc_id, k, n, w[k : k + n - 1] AS win
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, widths WHERE len(w) >= n)
+), m AS (
+    SELECT doc_id, k, n, item_id FROM dw JOIN iw USING (win)
+), h AS (
+    SELECT doc_id, count(DISTINCT place)::BIGINT AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS place FROM m) GROUP BY 1
+), t AS (
+    SELECT doc_id, count(DISTINCT item_id)::BIGINT AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+    FROM m GROUP BY 1
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+_TOP_K = """
+WITH v AS (
+    SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)
+), r AS (
+    SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+SQL: dict[str, str] = {
+    "op3_warc_round_trip": _WARC,
+    "op4_benchmark_decontamination": _LEAKS,
+    "op8_exact_top_k": _TOP_K,
+}
