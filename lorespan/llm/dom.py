@@ -132,5 +132,5 @@ def leaf_blocks(html: str) -> Iterator[Block]:
         stack.append((tag, words))
         names += (tag, *words)
         in_links += tag == "a"
-    if parts and not skip and (done := block()) is not None:
+    if parts and (done := block()) is not None:
         yield done

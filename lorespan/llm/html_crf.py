@@ -32,7 +32,7 @@ def of_text(block: Block) -> list[str]:
     """Features of a block's text and its own tag."""
     text = block.text
     n = len(text)
-    out = [f"tag:{block.tag}", f"length:{min(n.bit_length(), 10)}"]
+    out = [f"tag:{block.tag}", f"length:{min(max(n.bit_length(), 4), 10)}"]
     if block.link_chars * 2 > n:
         out.append("linked")
     if text[-1] in ".!?:;\"'”»…":

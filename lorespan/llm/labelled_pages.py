@@ -95,7 +95,9 @@ class _Writer:
         heading = self.tag("h1", title, keep=True)
         lead = f"<p>{KEEP}<b>{title} {self.paragraph()}<br>" if r.random() < 0.4 else ""
         body = heading + lead + self.content()
-        if r.random() < 0.15:
+        if r.random() < 0.1:
+            body = self.tag("p", self.paragraph(), keep=True) + self.content()
+        elif r.random() < 0.15:
             body = f"<header>{heading}<p class=\"byline meta\">{self.words(2, 5)}</p></header>" + body[len(heading):]
         style = r.random()
         if style < 0.45:
@@ -131,6 +133,10 @@ class _Writer:
         if r.random() < 0.9:
             foot = f"&copy; {self.word()}.example &middot; {self.sentence()}"
             bottom.append(r.choice((f"<footer>{foot}</footer>", f"<footer><p>{foot}</p></footer>", f'<div class="footer">{foot}</div>', f'<div id="page-footer">{self.paragraph()}</div>')))
+        if r.random() < 0.08:
+            top, bottom = [], []
+        elif r.random() < 0.1:
+            bottom = []  # a page that was cut off
         return f"<html><head><title>{title}</title></head><body>{''.join(top)}{main}{''.join(bottom)}</body></html>"
 
 

@@ -1,0 +1,79 @@
+from zlib import crc32
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+from helpers import odd_documents
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from lorespan.llm import token_store
+
+tokenizers = pytest.importorskip("tokenizers")
+
+
+@pytest.fixture(scope="module")
+def whole():
+    return tokenizers.Tokenizer.from_file(token_store.default_tokenizer())
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return token_store.Encoder(token_store.default_tokenizer())
+
+
+PIECES = st.one_of(
+    st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=6),
+    st.sampled_from(["<|endoftext|>", "<|startoftext|>", "'LL", "don't", " ", "\n", "\t", "\u0301", "\u3000", "\x1c", "\x0b", "\xa0", "ΣΑΣ", "İ", "ẞ", "abc", "12"]),
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=st.lists(PIECES, max_size=10).map("".join))
+def test_words_one_by_one_give_the_ids_of_the_whole_text(whole, encoder, text):
+    assert encoder.encode([text])[0].tolist() == whole.encode(text, add_special_tokens=False).ids + [token_store.END_ID]
+
+
+def brute(whole, rows):
+    start, out = 0, []
+    for i, t in rows:
+        ids = np.array(whole.encode(t or "", add_special_tokens=False).ids + [token_store.END_ID], dtype="<u4")
+        out.append((i, start, len(ids), crc32(ids.tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_round_trip(spark, whole):
+    df, rows = odd_documents(spark, [f"Text {k} with some words, it's {k * 7919}" for k in range(60)])
+    rows = sorted((r for r in rows if r[0] is not None), key=lambda r: r[0])
+    got = token_store.round_trip(df.where("doc_id IS NOT NULL")).orderBy("start").collect()
+    assert [tuple(r) for r in got] == brute(whole, rows)
+
+
+def test_null_ids_come_first(spark, whole):
+    df = spark.createDataFrame([(2, "b"), (None, None), (1, "a c")], "doc_id long, text string")
+    got = [tuple(r) for r in token_store.round_trip(df).orderBy("start").collect()]
+    assert got == brute(whole, [(None, None), (1, "a c"), (2, "b")])
+
+
+def test_files_are_sorted_encoded_and_indexed(spark, tmp_path):
+    df = spark.range(3000).selectExpr("id AS doc_id", "repeat('some words of text ', 5) AS text")
+    path = str(tmp_path / "tokens")
+    token_store.write_tokens(df, path, ranges=2)
+    files = sorted((tmp_path / "tokens").glob("*.parquet"))
+    assert len(files) == 2
+    for file in files:
+        meta = pq.ParquetFile(file).metadata
+        column = meta.row_group(0).column(meta.schema.names.index("doc_id"))
+        assert column.has_column_index and column.has_offset_index
+        assert any("DICTIONARY" in e or "DELTA" in e for e in meta.row_group(0).column(4).encodings)
+        ids = pq.read_table(file, columns=["doc_id"])["doc_id"].to_pylist()
+        assert ids == sorted(ids)
+    some = token_store.read_documents(spark, path, 1000, 1001)
+    assert "GreaterThanOrEqual(doc_id,1000)" in some._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.doc_id for r in some.collect()) == [1000, 1001]
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert token_store.round_trip(df).collect() == []
