@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorespan.llm.common import IdFilter, list_array, materialize, signed
+from lorespan.llm.common import IdFilter, discarded, list_array, materialize, signed
 from lorespan.llm.components import connected_components
 from lorespan.llm.shingles import mix, shingle_sets
 
@@ -41,7 +41,8 @@ SAMPLE_DOCUMENTS, OFTEN = 4096, 4
 #: Rows of a block of the product of a long list.
 BLOCK_ROWS = 512
 
-_SETS = "doc_id long, n_shingles long, high long, low long, columns array<long>, parity binary"
+_SETS = "doc_id long, n_shingles long, high long, low long, parity binary"
+_COLUMNS = "doc_id long, n_shingles long, high long, low long, columns array<long>"
 _POSTS = "kind byte, col long, a long, b long, n_a int, n_b int, at_a int, at_b int"
 
 
@@ -57,13 +58,12 @@ def similar_components(docs: DataFrame, percent: int = 75, width: int = 5, sampl
     ignored. An empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    often = _often(docs, width, sample)
-    sets = materialize(_sets(docs, percent, width, often), "sets")
+    sets = materialize(_sets(docs, width), "sets")
     classes = sets.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("high", "low", "n_shingles").agg(
         F.min("doc_id").alias("class_id")
     )
     classes = materialize(classes, "classes")
-    links = _links(docs, sets, classes, percent, width)
+    links = _links(docs, sets, classes, percent, width, _often(docs, width, sample))
     components = connected_components(links)
     degrees = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
     known = (
@@ -115,42 +115,76 @@ def _often(docs: DataFrame, width: int, sample: int) -> np.ndarray:
     return np.sort(np.array([r[0] for r in top.collect()], dtype=np.int64).view(np.uint64))
 
 
-def _sets(docs: DataFrame, percent: int, width: int, often: np.ndarray) -> DataFrame:
+def _digests(found: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set."""
+    return int(np.sum(mix(found))), int(np.sum(mix(found ^ np.uint64(0x5851F42D4C957F2D))))
+
+
+def _sets(docs: DataFrame, width: int) -> DataFrame:
+    """Size, digest and parity bitmap of every document's set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sizes, high, low, columns, parity = [], [], [], [], [], []
-            names = batch.column("doc_id").to_pylist()
+            rows, sizes, high, low, parity = [], [], [], [], []
             for row, found in shingle_sets(batch.column("text"), width):
-                n = len(found)
-                ids.append(names[row])
-                sizes.append(n)
-                high.append(int(np.sum(mix(found))) if n else 0)
-                low.append(int(np.sum(mix(found ^ np.uint64(0x5851F42D4C957F2D)))) if n else 0)
+                rows.append(row)
+                sizes.append(len(found))
+                for digest, value in zip((high, low), _digests(found) if len(found) else (0, 0)):
+                    digest.append(value)
                 parity.append(_parity(found))
-                if n and len(often):
-                    place = np.minimum(np.searchsorted(often, found), len(often) - 1)
-                    late = often[place] == found
-                    found = np.concatenate([found[~late], found[late]])
-                columns.append(found[: _prefix(n, percent)])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, pa.int64()),
+                    batch.column("doc_id").take(pa.array(rows, pa.int32())),
                     pa.array(sizes, pa.int64()),
                     pa.array(signed(np.array(high, dtype=np.uint64))),
                     pa.array(signed(np.array(low, dtype=np.uint64))),
-                    list_array(signed(np.concatenate(columns)) if columns else [], [len(c) for c in columns], pa.int64()),
                     pa.array(parity, pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "high", "low", "columns", "parity"],
+                ["doc_id", "n_shingles", "high", "low", "parity"],
             )
 
     return docs.mapInArrow(run, _SETS)
 
 
+def _columns(docs: DataFrame, percent: int, width: int, often: np.ndarray) -> DataFrame:
+    """The first columns of every document, those of ``often`` last. Made apart from ``_sets``: making them twice
+    takes less than storing them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, sizes, high, low, columns = [], [], [], [], []
+            for row, found in shingle_sets(batch.column("text"), width):
+                n = len(found)
+                if not n:
+                    continue
+                rows.append(row)
+                sizes.append(n)
+                for digest, value in zip((high, low), _digests(found)):
+                    digest.append(value)
+                if len(often):
+                    place = np.minimum(np.searchsorted(often, found), len(often) - 1)
+                    late = often[place] == found
+                    found = np.concatenate([found[~late], found[late]])
+                columns.append(found[: _prefix(n, percent)])
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").take(pa.array(rows, pa.int32())),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(signed(np.array(high, dtype=np.uint64))),
+                        pa.array(signed(np.array(low, dtype=np.uint64))),
+                        list_array(signed(np.concatenate(columns)), [len(c) for c in columns], pa.int64()),
+                    ],
+                    ["doc_id", "n_shingles", "high", "low", "columns"],
+                )
+
+    return docs.where("doc_id IS NOT NULL").mapInArrow(run, _COLUMNS)
+
+
 def _parity(found: np.ndarray) -> bytes:
     """One bit a bucket: whether an odd number of hashes fell into it. The number of buckets follows the size."""
-    bits = 512
-    while bits < 2 * len(found) and bits < 1 << 16:
+    bits = 64
+    while bits < len(found) and bits < 1 << 16:
         bits *= 2
     counts = np.bincount((found >> np.uint64(7)).astype(np.int64) & (bits - 1), minlength=bits)
     return np.packbits(counts & 1, bitorder="little").tobytes()
@@ -162,10 +196,10 @@ def _folded(parity: list[bytes], size: int) -> np.ndarray:
     return np.stack(rows)
 
 
-def _links(docs: DataFrame, sets: DataFrame, classes: DataFrame, percent: int, width: int) -> DataFrame:
+def _links(docs: DataFrame, sets: DataFrame, classes: DataFrame, percent: int, width: int, often: np.ndarray) -> DataFrame:
     """``a, b``: links between classes that connect all that is linked."""
     rows = (
-        sets.where("doc_id IS NOT NULL AND n_shingles > 0")
+        _columns(docs, percent, width, often)
         .groupBy("high", "low", "n_shingles")
         .agg(F.min(F.struct("doc_id", "columns")).alias("first"))
         .select(F.col("first.doc_id").alias("doc"), F.col("n_shingles").cast("int").alias("n"), F.col("first.columns").alias("columns"))
@@ -174,7 +208,7 @@ def _links(docs: DataFrame, sets: DataFrame, classes: DataFrame, percent: int, w
     lists = posts.repartition("col").sortWithinPartitions("col", "doc")
     posts = materialize(lists.mapInArrow(_short_lists(percent), _POSTS), "posts")
     pairs = _accumulated(posts.where("kind = 0"), percent)
-    links = materialize(_verified(docs, pairs, percent, width), "links")
+    links = _verified(docs, pairs, percent, width)
 
     long_lists = posts.where("kind = 1").select("col", F.col("a").alias("doc"), F.col("n_a").alias("n"), F.col("at_a").alias("at"))
     if long_lists.isEmpty():
@@ -386,11 +420,11 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int, width: int) -> Da
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), concerned.slot(F.col("doc_id")).alias("slot"), "text")
-    hashes = texts.mapInArrow(run, "doc long, hashes array<long>")
-    hashes = materialize(hashes.join(ids, "doc", "left_semi"), "hashes")
-    both = (
-        pairs.join(hashes.select(F.col("doc").alias("b"), F.col("hashes").alias("y")), "b")
-        .join(hashes.select(F.col("doc").alias("a"), F.col("hashes").alias("x")), "a")
-        .select("a", "b", "x", "y")
-    )
-    return both.mapInArrow(compare, "a long, b long")
+    with discarded(texts.mapInArrow(run, "doc long, hashes array<long>"), "hashes") as hashes:
+        # Merge joins at every size: sides are split when a document has very many pairs.
+        both = (
+            pairs.hint("merge").join(hashes.select(F.col("doc").alias("b"), F.col("hashes").alias("y")), "b")
+            .hint("merge").join(hashes.select(F.col("doc").alias("a"), F.col("hashes").alias("x")), "a")
+            .select("a", "b", "x", "y")
+        )
+        return materialize(both.mapInArrow(compare, "a long, b long"), "links")
