@@ -183,7 +183,7 @@ def _columns(docs: DataFrame, percent: int, width: int, often: np.ndarray) -> Da
 
 def _parity(found: np.ndarray) -> bytes:
     """One bit a bucket: whether an odd number of hashes fell into it. The number of buckets follows the size."""
-    bits = 64
+    bits = 512
     while bits < len(found) and bits < 1 << 16:
         bits *= 2
     counts = np.bincount((found >> np.uint64(7)).astype(np.int64) & (bits - 1), minlength=bits)
