@@ -82,13 +82,26 @@ def expand_abbreviations(text: Column, abbreviations: Mapping[str, str] | None =
     script. Apply exactly once: the replacement contains the abbreviation again.
     """
     table = expansion_table(fixed.ABBREVIATIONS if abbreviations is None else abbreviations)
+    return replace_words(text, map_literal(table)) if table else text
+
+
+def map_literal(table: Mapping[str, str]) -> Column:
     if not table:
-        return text
-    lookup = F.create_map(*[F.lit(part) for pair in table.items() for part in pair])
+        return F.create_map().cast("map<string,string>")
+    return F.create_map(*[F.lit(part) for pair in table.items() for part in pair])
+
+
+def replace_words(text: Column, lookup: Column) -> Column:
+    """Whole words replaced by what a map has for their lower-cased form, in one pass over the text."""
     runs = F.regexp_extract_all(text, F.lit(WORD_OR_GAP), F.lit(0))
     return F.array_join(F.transform(runs, lambda run: F.coalesce(F.try_element_at(lookup, F.lower(run)), run)), "")
 
 
+def plain_words(text: Column) -> Column:
+    """Lower-cased word runs, as ``replace_words`` looks them up."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+
+
 # -- prompts ------------------------------------------------------------------------------------
 
 
@@ -151,16 +164,11 @@ def is_good_answer(answer: Column, phrases: Sequence[str] | None = None) -> Colu
     """True unless the answer is null or contains, in lower case, one of the phrases. Never null."""
     phrases = fixed.REFUSAL_PHRASES if phrases is None else phrases
     lowered = F.lower(answer)
-    refused = _any_of([lowered.contains(phrase) for phrase in phrases])
-    return answer.isNotNull() & ~F.coalesce(refused, F.lit(True))
-
-
-def _any_of(conditions: list[Column]) -> Column:
-    """OR as a balanced tree: a long chain would nest too deeply for the optimizer."""
-    while len(conditions) > 1:
-        pairs = zip(conditions[::2], conditions[1::2])
-        conditions = [a | b for a, b in pairs] + conditions[len(conditions) // 2 * 2 :]
-    return conditions[0] if conditions else F.lit(False)
+    if not phrases:
+        return answer.isNotNull()
+    # One predicate whatever the number of phrases, and one evaluation of the lower-cased text for all.
+    one = F.exists(F.array(lowered), lambda text: F.exists(F.array(*[F.lit(p) for p in phrases]), lambda phrase: text.contains(phrase)))
+    return answer.isNotNull() & ~F.coalesce(one, F.lit(True))
 
 
 # -- names --------------------------------------------------------------------------------------

@@ -98,9 +98,31 @@ def test_failed_calls(spark, index):
         return model
 
     asked = questions(spark, ["cats sleep a lot they purr"])
-    assert answer.answer_questions(asked, index, k=3, load_model=load).first()["answer"] == "other"
+    answers, failed = answer.answer_with_failures(asked, index, load, k=3)
+    assert answers.first()["answer"] == "other"
+    assert [(r["asked"], r["error"]) for r in failed.collect()] == [("cats sleep a lot they purr", "ValueError: no cats")]
     with pytest.raises(Exception, match="no cats"):
-        answer.answer_questions(asked, index, k=3, load_model=load, fail_on_error=True).collect()
+        answer.answer_questions(asked, index, k=3, load_model=load).collect()
+
+
+def test_null_questions_take_no_part_in_the_join(spark, index):
+    asked = questions(spark, [None] * 50 + ["cats purr"])
+    rows = answer.answer_questions(asked, index, k=1).collect()
+    assert len(rows) == 51 and sum(r["answer"] is not None for r in rows) == 1
+
+
+def test_cascade_tries_rank_zero_and_steps_over_gaps(spark):
+    rows = [(1, 0, "fine", "s0", None), (1, 5, "fine", "s5", None), (2, 1_000_000, "fine", "far", None), (3, None, "fine", "never", None), (3, -2, None, "s", None)]
+    df = spark.createDataFrame(rows, "key long, rank int, answer string, source string, output_metadata string")
+    rounds = []
+
+    def produce(todo):
+        rounds.append(1)
+        return todo
+
+    found = answer.cascade(df, "key", produce, txt.is_good_answer(F.col("answer")))
+    assert {r["key"]: r["source"] for r in found.collect()} == {1: "s0", 2: "far"}
+    assert len(rounds) == 4
 
 
 def test_abbreviations_reach_the_search(spark, index):
@@ -112,20 +134,55 @@ def test_abbreviations_reach_the_search(spark, index):
 def test_dictionary_table_both_ways(spark):
     df = spark.createDataFrame([(1, "ml and hms, ML!"), (2, "nothing"), (3, ""), (4, None)], "id long, t string")
     entries = spark.createDataFrame([(1, "ML", "Machine Learning"), (2, "HMS", "Hive Metastore")], "position int, abbreviation string, full_text string")
-    small = answer.expand_with_table(df, "t", "id", entries)
-    large = answer.expand_with_table(df, "t", "id", entries, limit=1)
+    small = answer.expand_with_table(df, "t", entries)
+    large = answer.expand_with_table(df, "t", entries, limit=1)
     literal = df.withColumn("t", txt.expand_abbreviations(F.col("t"), {"ML": "Machine Learning", "HMS": "Hive Metastore"}))
     wanted = sorted(map(tuple, literal.select("id", "t").collect()))
     assert sorted(map(tuple, small.select("id", "t").collect())) == wanted
     assert sorted(map(tuple, large.select("id", "t").collect())) == wanted
 
 
+@pytest.mark.parametrize("limit", [1, 100])
+def test_chained_repeated_and_broken_entries(spark, limit):
+    rows = [(1, "aa zz"), (2, "CC bb"), (None, "aa"), (1, "dd"), (5, None), (6, "")]
+    df = spark.createDataFrame(rows, "id long, t string")
+    entries = [(1, "AA", "uses BB and AA"), (2, "BB", "then CC, not AA"), (3, "CC", "second"), (4, "aa", "never"), (4, "BB", "never"), (None, "ZZ", "x"), (5, "ZZ", None), (6, None, "x"), (7, "DD", "")]
+    table = spark.createDataFrame(entries, "position int, abbreviation string, full_text string")
+    got = answer.expand_with_table(df, "t", table, limit=limit)
+    assert got.columns == df.columns
+    bb = "BB (then CC (second), not AA)"
+    assert sorted((r["t"] or "") for r in got.collect()) == sorted([f"AA (uses {bb} and AA) zz", f"CC (second) {bb}", f"AA (uses {bb} and AA)", "DD ()", "", ""])
+
+
+def test_chains_equal_the_literal_form(spark):
+    words = {"AA": "BB CC dd", "BB": "CC AA", "CC": "DD and EE", "DD": "EE", "EE": "end"}
+    entries = spark.createDataFrame([(k, a, t) for k, (a, t) in enumerate(words.items())], "position int, abbreviation string, full_text string")
+    got = {r["word"]: r["replacement"] for r in answer.replacement_table(entries).collect()}
+    assert got == txt.expansion_table(words)
+
+
+@pytest.mark.parametrize("limit", [1, 100])
+def test_entries_of_several_words_are_refused(spark, limit):
+    df = spark.createDataFrame([(1, "a b")], "id long, t string")
+    table = spark.createDataFrame([(1, "A B", "x"), (2, "C", "y")], "position int, abbreviation string, full_text string")
+    with pytest.raises(Exception, match="one word"):
+        answer.expand_with_table(df, "t", table, limit=limit).collect()
+
+
+@pytest.mark.parametrize("limit", [1, 1000])
+def test_phrases_and_rows_without_a_unique_key(spark, limit):
+    rows = [(None, "refused here"), (None, "fine"), (1, "fine too"), (1, "REFUSED")]
+    df = spark.createDataFrame(rows, "id long, answer string")
+    phrases = spark.createDataFrame([("refused",), ("other",)], "phrase string")
+    assert sorted(r["answer"] for r in answer.reject_by_table(df, phrases, limit=limit).collect()) == ["fine", "fine too"]
+
+
 def test_phrase_table_both_ways(spark):
     rows = [(1, "all fine"), (2, "I am SORRY, no"), (3, None), (4, ""), (5, "so"), (6, "not known here"), (7, "a知りません"), (8, "ends in sor")]
     df = spark.createDataFrame(rows, "id long, answer string")
     phrases = spark.createDataFrame([("sorry",), ("known",), ("知りません",), ("abcdefghijklmnop",), ("",), (None,)], "phrase string")
-    small = answer.reject_by_table(df, phrases, "id")
-    large = answer.reject_by_table(df, phrases, "id", limit=1)
+    small = answer.reject_by_table(df, phrases)
+    large = answer.reject_by_table(df, phrases, limit=1, block_bytes=100)
     assert sorted(r["id"] for r in small.collect()) == [1, 4, 5, 8]
     assert sorted(r["id"] for r in large.collect()) == [1, 4, 5, 8]
 
@@ -136,15 +193,15 @@ def test_phrase_join_on_a_table(spark, folder):
     said = queries._said(spark, folder).withColumn("turn_id", queries._turn_id())
     opening = F.lower(F.regexp_extract("text", r"^[^ \n]+ [^ \n]+", 0))
     phrases = spark.read.parquet(f"{folder}/benchmark.parquet").select(opening.alias("phrase"))
-    joined = answer.reject_by_table(said, phrases, "turn_id", limit=1).select("turn_id").collect()
-    literal = answer.reject_by_table(said, phrases, "turn_id").select("turn_id").collect()
+    joined = answer.reject_by_table(said, phrases, limit=1).select("turn_id").collect()
+    literal = answer.reject_by_table(said, phrases).select("turn_id").collect()
     assert sorted(joined) == sorted(literal)
 
 
 def test_texts_of_many_hits(spark, index, monkeypatch):
-    """Beyond the broadcast limit the texts come through a shuffle join; the result is the same."""
+    """Beyond the broadcast limit the texts take several passes over the index; the result is the same."""
     asked = questions(spark, ["cats", "tables", "streams"])
     few = sorted(map(tuple, retrieve.retrieve(asked, index, 2).collect()))
-    monkeypatch.setattr(retrieve, "BROADCAST_HITS", 0)
+    monkeypatch.setattr(retrieve, "BROADCAST_BYTES", 16)
     assert sorted(map(tuple, retrieve.retrieve(asked, index, 2).collect())) == few
     assert len(few) == 6
