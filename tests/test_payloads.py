@@ -60,3 +60,20 @@ def test_status_routing(spark):
         "Request failed with status 500, boom",
         "Request failed with status None, ",
     }
+
+
+def test_list_forms_and_empty_requests(spark):
+    from lorespan.sources import requests
+
+    bodies = [
+        ("a", '{"inputs": ["q1", "q2"]}'), ("b", '{"inputs": [["q1"], ["q2"]]}'), ("c", '{"inputs": []}'), ("d", '{"inputs": {"question": []}}'),
+        ("e", '{"inputs": {"question": [null]}}'), ("f", '{"inputs": "q"}'), ("g", "{}"), ("h", None), ("i", '{"inputs": ["q1"'),
+    ]
+    df = spark.createDataFrame(bodies, "request_id string, body string")
+    good, bad = requests.parse_requests(df)
+    got = sorted((r["request_id"], r["pos"], r["question"] or "") for r in good.collect())
+    assert got == [("a", 0, "q1"), ("a", 1, "q2"), ("b", 0, "q1"), ("b", 1, "q2"), ("e", 0, "")]
+    assert sorted(r["request_id"] for r in bad.collect()) == ["f", "g", "h", "i"]
+    answers = good.selectExpr("request_id", "pos", "question AS answer", "CAST(NULL AS STRING) AS source", "CAST(NULL AS STRING) AS output_metadata")
+    replies = {r["request_id"]: r["body"] for r in requests.format_responses(answers, asked=requests.readable_requests(df)).collect()}
+    assert set(replies) == set("abcde") and replies["c"] == replies["d"] == '{"predictions":[]}'
