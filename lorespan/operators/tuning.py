@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -10,17 +11,20 @@ from pyspark.sql import functions as F
 
 from lorespan import fixed_values as fixed
 from lorespan.functions import text as txt
-from lorespan.operators.lookup import salted_lookup
+from lorespan.operators.lookup import hot_key_lookup
+from lorespan.session import materialize
 
 VOCABULARY = 50_000
 END_ID = 0
 _HISTOGRAM_DIGITS = 4
+SLICE_ROWS = 1 << 20
 
 
 def turn_pairs(conversations: DataFrame) -> DataFrame:
     """``example_id, conv_id, turn, instruction, response`` from ``conv_id, turn, role, text``.
 
-    A user turn is paired with the assistant turn right after it. Pairing joins on (conversation,
+    A user turn is paired with the assistant turn numbered one higher; ``turn_gaps`` finds conversations whose
+    numbers have gaps, which would lose pairs. Pairing joins on (conversation,
     turn), which is unique, so a conversation of any length spreads over all partitions; a window
     over the conversation would not.
     """
@@ -34,12 +38,19 @@ def turn_pairs(conversations: DataFrame) -> DataFrame:
     )
 
 
+def turn_gaps(conversations: DataFrame) -> DataFrame:
+    """``conv_id`` of conversations whose turns are not numbered one by one. Partial counts, nothing is sorted."""
+    numbers = conversations.groupBy("conv_id").agg(F.min("turn").alias("a"), F.max("turn").alias("b"), F.count("*").alias("n"))
+    return numbers.filter("b - a + 1 <> n").select("conv_id")
+
+
 def with_contexts(pairs: DataFrame, conversations: DataFrame) -> DataFrame:
     """Add ``context``: the first system turn of the conversation, null where there is none."""
     contexts = (
         conversations.filter("role = 'system'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("context"))
     )
-    return salted_lookup(pairs, contexts, ["conv_id"], ["turn"])
+    # Contexts are wide: only those of very long conversations are repeated.
+    return hot_key_lookup(pairs, contexts, "conv_id", pairs.groupBy("conv_id").agg(F.count("*").alias("n")), ["turn"])
 
 
 def training_texts(examples: DataFrame) -> DataFrame:
@@ -91,34 +102,30 @@ def exact_split(
     """Add ``split``: the ``test`` rows with the smallest ``md5(seed:key)`` are test, the rest train.
 
     ``test`` is a number of rows, or a fraction below 1 that is rounded up. ``key`` must be unique.
-    The size is exact and membership does not depend on partitioning. The table is never sorted: a
-    histogram over the first hash digits finds the slice of hashes the boundary lies in, only that
-    slice (one row in 65,536) is ranked, and one more pass compares every row with the boundary.
+    The size is exact and membership does not depend on partitioning. Keys and hashes are written once. The
+    table is never sorted: a histogram over the first hash digits finds the slice of hashes the boundary lies in, and
+    only that slice is ranked. The number of digits follows the row count, so that slice and histogram both stay
+    below about ``SLICE_ROWS`` rows up to SLICE_ROWS squared rows.
     """
     order_key = F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))
-    hashed = df.select(F.md5(order_key).alias("hash"), F.col(key).alias("key"))
-    hashed = hashed.withColumn("digits", F.substring("hash", 1, _HISTOGRAM_DIGITS))
+    hashed = materialize(df.select(F.md5(order_key).alias("hash"), F.col(key).alias("key")), "keys")
+    total = hashed.count()
+    digits = _HISTOGRAM_DIGITS
+    while total // 16**digits > SLICE_ROWS and digits < 8:
+        digits += 1
+    wanted = int(test) if test >= 1 or test == 0 else math.ceil(float(test) * total)
+    if wanted >= total and (wanted or total):
+        raise ValueError("the test split needs fewer rows than the table has")
+    hashed = hashed.withColumn("digits", F.substring("hash", 1, digits))
 
-    # At most 65,536 rows from here to `edge`, whatever the size of the table.
     counts = hashed.groupBy("digits").agg(F.count("*").alias("n"))
-    upto = counts.select(
-        "digits",
-        "n",
-        F.sum("n").over(Window.orderBy("digits")).alias("upto"),
-        F.sum("n").over(Window.orderBy("digits").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
-    )
-    wanted = F.lit(test).cast("long") if test >= 1 or test == 0 else F.ceil(F.lit(float(test)) * F.col("total"))
-    fits = F.when(wanted >= F.col("total"), F.raise_error("the test split needs fewer rows than the table has"))
-    edge = (
-        upto.withColumn("wanted", F.coalesce(fits.cast("long"), wanted.cast("long")))
-        .filter((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
-        .select("digits", (F.col("wanted") - (F.col("upto") - F.col("n"))).alias("place"))
-    )
-
-    # One edge row at most, so broadcasting it is safe; the rest of the table does not take part.
-    ranked = hashed.join(F.broadcast(edge), "digits").withColumn("at", F.row_number().over(Window.orderBy("hash", "key")))
-    last = ranked.filter(F.col("at") == F.col("place")).select(F.struct("hash", "key").alias("last"))
-    inside = F.struct(F.md5(order_key).alias("hash"), F.col(key).alias("key")) <= last.scalar()
+    upto = F.sum("n").over(Window.orderBy("digits"))
+    edge = counts.select("digits", "n", upto.alias("upto")).filter((F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted)).first()
+    if edge is None:
+        return df.withColumn("split", F.lit("train"))
+    place = wanted - (edge["upto"] - edge["n"])
+    last = hashed.filter(F.col("digits") == edge["digits"]).orderBy("hash", "key").limit(place).agg(F.max(F.struct("hash", "key")).alias("last")).first()["last"]
+    inside = F.struct(F.md5(order_key).alias("hash"), F.col(key).alias("key")) <= F.struct(F.lit(last["hash"]), F.lit(last["key"]))
     return df.withColumn("split", F.when(inside, "test").otherwise("train"))
 
 
@@ -135,21 +142,22 @@ def collate(
     df: DataFrame,
     key: str,
     batch_rows: int = 8,
-    rows_per_shard: int = 100_000,
+    shards: int = 1,
     pad_id: int = END_ID,
     seed: int = fixed.TRAIN_SEED,
 ) -> DataFrame:
     """Pad ``input_ids`` to the longest of their batch and add ``attention_mask`` and ``labels``.
 
     Labels repeat the ids, with the ignored label wherever the pad id stands. Batches are numbered
-    inside shards of about ``rows_per_shard`` rows, chosen by the hash of the unique key: a single
-    running number over the whole table would need one task to see all of it. Shards keep the row
-    order of the hash; only the last batch of a shard may be short.
+    inside ``shards`` shards, chosen by the hash of the unique key: a single running number over the whole
+    table would need one task to see all of it. Take a shard for every 100,000 rows or so. A row keeps its shard as
+    long as their number stays. Shards keep the row order of the hash; only the last batch of a shard may be short.
     """
-    shards = df.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(rows_per_shard))).cast("long").alias("n")).scalar()
+    if shards < 1:
+        raise ValueError("at least one shard is needed")
     order_key = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     placed = df.withColumn("_order", order_key).withColumn(
-        "shard", F.pmod(F.conv(F.substring("_order", 1, 8), 16, 10).cast("long"), shards)
+        "shard", F.pmod(F.conv(F.substring("_order", 1, 8), 16, 10).cast("long"), F.lit(shards))
     )
     row = F.row_number().over(Window.partitionBy("shard").orderBy("_order", key))
     batched = placed.withColumn("batch", F.floor((row - 1) / batch_rows).cast("long"))

@@ -104,6 +104,14 @@ def slots(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
+def _moves_rows(node) -> bool:
+    """Whether a plan has a step that other steps need a shuffle for, or a shuffle itself."""
+    if any(word in node.nodeName() for word in ("Exchange", "Join", "Aggregate", "Window", "Sort", "Limit")):
+        return True
+    children = node.children()
+    return any(_moves_rows(children.apply(k)) for k in range(children.size()))
+
+
 def spread(scan: DataFrame, *key: str) -> DataFrame:
     """Give a file scan at least one partition per core.
 
@@ -112,7 +120,7 @@ def spread(scan: DataFrame, *key: str) -> DataFrame:
     table) passes through untouched, so nothing big is ever shuffled here. So does a plan with a
     shuffle of its own. ``key`` must be unique.
     """
-    if "Exchange" in scan._jdf.queryExecution().executedPlan().toString():
+    if _moves_rows(scan._jdf.queryExecution().sparkPlan()):
         return scan
     wanted = slots(scan.sparkSession)
     if scan.rdd.getNumPartitions() >= wanted:

@@ -88,26 +88,25 @@ def test_truncation(spark, n):
 
 def test_plugged_byte_pair_tokenizer(spark):
     tokenizers = pytest.importorskip("tokenizers")
-    trainer = tokenizers.trainers.BpeTrainer(vocab_size=60, special_tokens=["<|endoftext|>"])
-    trained = tokenizers.Tokenizer(tokenizers.models.BPE())
-    trained.train_from_iterator(["low lower lowest slow slower"], trainer)
-    saved = trained.to_str()
+    public = pytest.importorskip("public_tokenizers")
+    path = public.path("byte_bpe_50k.json")
+    whole = tokenizers.Tokenizer.from_file(path)
 
     def load():
         import tokenizers
 
-        tokenizer = tokenizers.Tokenizer.from_str(saved)
+        tokenizer = tokenizers.Tokenizer.from_file(path)
         return lambda texts: [tokenizer.encode(t).ids for t in texts]
 
     df = spark.createDataFrame([("lowest slow",)], "text string")
     row = tuning.tokenize(df, max_tokens=2, load_tokenizer=load).first()
-    assert row["input_ids"] == trained.encode("lowest slow").ids[:2] and row["truncated"]
+    assert row["input_ids"] == whole.encode("lowest slow").ids[:2] and row["truncated"]
 
 
 def test_collation(spark):
     rows = [(f"e{i}", list(range(1, i + 2))) for i in range(21)] + [("z", [3, 0, 4])]
     df = spark.createDataFrame(rows, "example_id string, input_ids array<int>")
-    out = tuning.collate(df, "example_id", batch_rows=4, rows_per_shard=10).collect()
+    out = tuning.collate(df, "example_id", batch_rows=4, shards=3).collect()
     assert {r["example_id"] for r in out} == {r[0] for r in rows}
     assert {r["shard"] for r in out} <= {0, 1, 2}
     source = dict(rows)
@@ -137,3 +136,16 @@ def test_dataset(spark, tmp_path):
     built = tuning.build_dataset(examples, str(tmp_path / "sft"), 5)
     assert built.filter("split = 'test'").count() == 5 and built.count() == 20
     assert {p.name for p in (tmp_path / "sft").iterdir() if p.is_dir()} == {"split=test", "split=train"}
+
+
+def test_shards_do_not_follow_the_row_count(spark):
+    rows = [(f"e{i}", [i]) for i in range(30)]
+    few = tuning.collate(spark.createDataFrame(rows[:10], "example_id string, input_ids array<int>"), "example_id", shards=4)
+    many = tuning.collate(spark.createDataFrame(rows, "example_id string, input_ids array<int>"), "example_id", shards=4)
+    shards = {r["example_id"]: r["shard"] for r in many.collect()}
+    assert {r["example_id"]: r["shard"] for r in few.collect()}.items() <= shards.items()
+
+
+def test_gaps_between_turns_are_found(spark):
+    turns = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (2, 2), (3, 5)], "conv_id long, turn int")
+    assert [r["conv_id"] for r in tuning.turn_gaps(turns).collect()] == [2]
