@@ -151,8 +151,23 @@ _generated = f"""
     FROM conversations WHERE role = 'user'"""
 _lang_cases = (
     "list_transform(regexp_extract_all(text, '" + RUN + "'), lambda r: "
-    "CASE WHEN list_contains(codes, upper(r)) THEN upper(r) || ' (language ' || upper(r) || ')' ELSE r END)"
+    "CASE WHEN upper(r) = 'DE' AND list_contains(codes, 'DE') THEN 'DE (language de or ' || CASE WHEN list_contains(codes, 'FR') THEN 'FR (language fr)' ELSE 'fr' END"
+    " || ', see ' || CASE WHEN list_contains(codes, 'ES') THEN 'ES (language es)' ELSE 'es' END || ')' "
+    "WHEN list_contains(codes, upper(r)) THEN upper(r) || ' (language ' || lower(r) || ')' ELSE r END)"
 )
+_expanded_table = f"""
+        SELECT doc_id, array_to_string({_lang_cases}, '') AS response
+        FROM documents, (SELECT list(DISTINCT upper(lang)) AS codes FROM documents)"""
+_opening_filter = r"""
+        WITH phrases AS (SELECT DISTINCT lower(regexp_extract(text, '^[^ \n]+ [^ \n]+')) AS phrase FROM benchmark)
+        SELECT conv_id, turn, text AS answer FROM conversations WHERE role = 'assistant'
+          AND NOT EXISTS (SELECT 1 FROM phrases WHERE phrase <> '' AND contains(lower(text), phrase))"""
+_readings = f"""{_hits(True)},
+    prompts AS (SELECT *, {_text(_before)} || response || {_text(_between)} || asked || {_text(_after)} AS prompt FROM hits),
+    read AS (SELECT *, length(prompt) % 5 = 0 AS failed, array_to_string(regexp_extract_all(response, '{TOKEN}')[1:8], ' ') AS text FROM prompts),
+    tried AS (SELECT *, min(CASE WHEN NOT failed AND {_good('text')} THEN rank END) OVER (PARTITION BY question_id) AS best FROM read)"""
+_mixed = f"""
+    mixed AS (SELECT {TURN_ID} AS request_id, text, (conv_id * 3 + turn) % 8 AS kind FROM conversations)"""
 
 _knn_vectors = f"""
     WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
@@ -202,19 +217,24 @@ SQL: dict[str, str] = {
         WITH {_hits(False)} SELECT question_id, rank,
           {_text(_before)} || response || {_text(_between)} || question || {_text(_after)} AS prompt FROM hits""",
     "expand_abbreviations": f"SELECT doc_id, {_expand('text', q.DICTIONARY)} AS response FROM documents",
-    "expand_abbreviations_table": f"""
-        SELECT doc_id, array_to_string({_lang_cases}, '') AS response
-        FROM documents, (SELECT list(DISTINCT upper(lang)) AS codes FROM documents)""",
+    "expand_abbreviations_table": _expanded_table,
+    "expand_abbreviations_join": _expanded_table,
     "filter_bad_answers": f"""
         SELECT conv_id, turn, text AS answer FROM conversations WHERE role = 'assistant' AND {_good('text')}""",
-    "filter_bad_answers_table": r"""
-        WITH phrases AS (SELECT DISTINCT lower(regexp_extract(text, '^[^ \n]+ [^ \n]+')) AS phrase FROM benchmark)
-        SELECT conv_id, turn, text AS answer FROM conversations WHERE role = 'assistant'
-          AND NOT EXISTS (SELECT 1 FROM phrases WHERE phrase <> '' AND contains(lower(text), phrase))""",
+    "filter_bad_answers_table": _opening_filter,
+    "filter_bad_answers_blocks": _opening_filter,
     "first_good_answer": _first_good,
     "cascade_answers": _first_good,
     "answer_questions": f"""
         WITH {ANSWERS} SELECT question_id, question, answer, source, output_metadata FROM answers""",
+    "answer_with_model": f"""
+        WITH {_readings}
+        SELECT a.question_id, a.text AS question, t.text AS answer, t.source, CAST(NULL AS VARCHAR) AS output_metadata
+        FROM (SELECT {TURN_ID} AS question_id, text FROM conversations WHERE role = 'user') a
+        LEFT JOIN tried t ON t.question_id = a.question_id AND t.rank = t.best""",
+    "answer_failures": f"""
+        WITH {_readings} SELECT DISTINCT asked, rank, 'ValueError: no room' AS error FROM tried
+        WHERE failed AND (best IS NULL OR rank < best)""",
     "generate_batches": _generated,
     "route_failures": f"""
         WITH made AS ({_generated})
@@ -224,7 +244,8 @@ SQL: dict[str, str] = {
         WITH asked AS (SELECT {TURN_ID} AS question_id, text, CASE WHEN turn > 0 THEN turn + 2 ELSE 100 END AS max_tokens
                        FROM conversations WHERE role = 'user')
         SELECT question_id, 1.0::DOUBLE AS temperature, max_tokens,
-               array_to_string(regexp_extract_all(text, '{TOKEN}')[1:max_tokens], ' ') AS text FROM asked""",
+               'line  one' || chr(10) || array_to_string(regexp_extract_all(text, '{TOKEN}')[1:max_tokens], chr(10) || '    ') || ' ' AS text
+        FROM asked""",
     "serving_prompts": f"""
         SELECT {TURN_ID} AS question_id, {_text(_serve_head)} || text || {_text(_serve_tail)} AS prompt
         FROM conversations WHERE role = 'user'""",
@@ -240,9 +261,8 @@ SQL: dict[str, str] = {
         FROM ids JOIN split USING (example_id)""",
     "collate_batches": f"""
         WITH {IDS},
-        shards AS (SELECT greatest(1, CAST(ceil(count(*) / 100000.0) AS BIGINT)) AS n FROM ids),
         placed AS (SELECT example_id, input_ids, md5('{fixed.TRAIN_SEED}:' || example_id) AS h,
-                     CAST('0x' || substr(md5('{fixed.TRAIN_SEED}:' || example_id), 1, 8) AS BIGINT) % n AS shard FROM ids, shards),
+                     CAST('0x' || substr(md5('{fixed.TRAIN_SEED}:' || example_id), 1, 8) AS BIGINT) % {q.COLLATE_SHARDS} AS shard FROM ids),
         batched AS (SELECT *, (row_number() OVER (PARTITION BY shard ORDER BY h, example_id) - 1) // 8 AS batch FROM placed),
         padded AS (SELECT example_id, shard, batch, len(input_ids) AS n, input_ids,
                      max(len(input_ids)) OVER (PARTITION BY shard, batch) - len(input_ids) AS pad FROM batched)
@@ -262,6 +282,19 @@ SQL: dict[str, str] = {
                round(avg(CASE WHEN answer IS NOT NULL THEN n END), 6) AS mean_tokens,
                round(avg(CASE WHEN n > 0 THEN 4.71::DOUBLE * (chars::DOUBLE / n) + 0.5::DOUBLE * n / sentences - 21.43::DOUBLE END), 6) AS mean_ari
         FROM sized GROUP BY run_id""",
+    "eval_exact_match": f"""
+        WITH {EVAL} SELECT run_id, count(*) AS n_questions,
+          round(sum(CASE WHEN answer = response THEN 1 ELSE 0 END)::DOUBLE / count(*), 6) AS exact_match
+        FROM evals JOIN pairs ON question_id = example_id GROUP BY run_id""",
+    "latest_named_version": """
+        SELECT source AS name, max(doc_id) AS version, 'index/' || source || '/' || max(doc_id) AS path
+        FROM documents WHERE source = 'src3' GROUP BY source""",
+    "stored_sources": "SELECT doc_id, text AS response, source FROM documents",
+    "listed_files": "SELECT CAST(sum(length(doc_id::VARCHAR) + 1) AS BIGINT) AS n_bytes FROM documents",
+    "previewed_sources": "SELECT least(count(*), 20) AS n_rows FROM documents",
+    "marker_ids": """
+        SELECT 0 AS reserved, 7 AS stored, CAST(1 + CAST('0x' || substr(md5('the'), 1, 8) AS BIGINT) % 49999 AS INTEGER) AS word
+        FROM (SELECT count(*) FROM documents)""",
     "latest_version": """
         SELECT source AS name, max(doc_id) AS version, 'index/' || source || '/' || max(doc_id) AS path
         FROM documents GROUP BY source""",
@@ -283,7 +316,18 @@ SQL: dict[str, str] = {
                 CAST(row_number() OVER (PARTITION BY {REQUEST_ID} ORDER BY turn) - 1 AS INTEGER) AS pos
               FROM conversations WHERE role = 'user')""",
     "unreadable_requests": f"""
-        SELECT {TURN_ID} AS request_id, text AS body, 'unreadable request' AS error FROM conversations""",
+        WITH {_mixed}, bodies AS (
+          SELECT request_id, kind, CASE kind WHEN 6 THEN substr(text, 1, 20)
+            WHEN 7 THEN substr(j, 1, length(j) - 3) END AS body
+          FROM (SELECT *, CAST(to_json({{'inputs': {{'question': [text]}}}}) AS VARCHAR) AS j FROM mixed))
+        SELECT request_id, body, 'unreadable request' AS error FROM bodies WHERE kind >= 5""",
+    "parse_mixed_requests": f"""
+        WITH {_mixed} SELECT request_id, CAST(0 AS INTEGER) AS pos, request_id || '/0' AS question_id, text AS question
+        FROM mixed WHERE kind < 4""",
+    "respond_to_all": f"""
+        WITH {_mixed} SELECT request_id, CASE WHEN kind = 4 THEN '{{"predictions":[]}}' ELSE
+          CAST(to_json({{'predictions': [{{'answer': text, 'source': NULL, 'output_metadata': NULL}}]}}) AS VARCHAR) END AS body
+        FROM mixed WHERE kind < 5""",
     "format_responses": f"WITH {RESPONSES} SELECT request_id, body FROM responses",
     "first_predictions": f"""
         SELECT {REQUEST_ID} AS request_id, arg_min(text, turn) AS answer, 'conversation ' || conv_id AS source

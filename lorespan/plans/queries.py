@@ -15,7 +15,7 @@ from lorespan.functions import payload, vectors
 from lorespan.functions import text as txt
 from lorespan.operators import answer, chunk, embed, evaluate, generate, knn, retrieve, tuning
 from lorespan.operators.lookup import salted_lookup
-from lorespan.session import scratch_path, spread
+from lorespan.session import materialize, scratch_path, spread
 from lorespan.sources import index_store, requests, tables, versions
 from lorespan.streaming import chat
 
@@ -28,9 +28,9 @@ ORGANISATION = "the organisation"
 TEST_FRACTION = 0.2
 QUESTIONS_PER_REQUEST = 8
 LONGEST_PROMPT = 350
+COLLATE_SHARDS = 4
 
 _REGISTRY: dict[str, Query] = {}
-_INDEX_PATHS: dict[tuple[str, str], str] = {}
 
 
 def query(fn: Query) -> Query:
@@ -62,15 +62,11 @@ def _questions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _saved_index(spark: SparkSession, folder: str) -> DataFrame:
-    """The demo-size chunk index of a folder, built and saved once per session, then loaded."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _INDEX_PATHS:
-        path = scratch_path(spark, "chunk-index")
-        index_store.save_index(
-            index_store.build_index(_sources(spark, folder), fixed.DEMO_CHUNK_SIZE, fixed.DEMO_CHUNK_OVERLAP), path
-        )
-        _INDEX_PATHS[key] = path
-    return index_store.load_index(spark, _INDEX_PATHS[key])
+    """The demo-size chunk index of a folder: built, saved and loaded by every query that needs it."""
+    path = scratch_path(spark, "chunk-index")
+    index = index_store.build_index(_sources(spark, folder), fixed.DEMO_CHUNK_SIZE, fixed.DEMO_CHUNK_OVERLAP)
+    index_store.save_index(index, path)
+    return index_store.load_index(spark, path)
 
 
 def _demo_chunks(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,6 +96,35 @@ def longest_document(spark, folder):
     return tables.longest(_sources(spark, folder), "response", "doc_id")
 
 
+@query
+def stored_sources(spark, folder):
+    """The sources saved as a managed table of a schema of their own, and read back by name."""
+    before = spark.catalog.currentDatabase()
+    try:
+        schema = tables.use_namespace(spark, "lorespan_queries")
+        name = f"{schema}.sources_{abs(hash(folder)) % 10**9}"
+        tables.save_table(_sources(spark, folder), name)
+        return spark.table(name)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+@query
+def listed_files(spark, folder):
+    """Bytes of the files of an exported table of ids, one line each."""
+    path = scratch_path(spark, "export")
+    _sources(spark, folder).selectExpr("CAST(doc_id AS STRING) AS value").write.text(path)
+    files = tables.list_files(spark, path).filter(F.col("path").endswith(".txt"))
+    return files.agg(F.sum("length").alias("n_bytes"))
+
+
+@query
+def previewed_sources(spark, folder):
+    """A preview holds as many rows as asked for, all of them from the table."""
+    shown = tables.preview(_sources(spark, folder), 20)
+    return shown.join(_sources(spark, folder).select("doc_id"), "doc_id", "left_semi").agg(F.count("*").alias("n_rows"))
+
+
 @query
 def chunk_documents(spark, folder):
     return _demo_chunks(spark, folder)
@@ -155,10 +180,10 @@ def knn_vectors(spark, folder):
 
 @query
 def knn_vectors_by_blocks(spark, folder):
-    """The way for question sets beyond the broadcast limit, forced by a limit of one question."""
+    """The way for question sets beyond the broadcast limit, forced by a limit of 64 KB."""
     all_vectors = tables.test_table(spark, folder, "embeddings")
     asked = all_vectors.withColumnRenamed("vec_id", "query_id")
-    return knn.knn_join(asked, all_vectors, fixed.HITS_PER_QUESTION, "query_id", "vec_id", broadcast_bytes=1)
+    return knn.knn_join(asked, all_vectors, fixed.HITS_PER_QUESTION, "query_id", "vec_id", broadcast_bytes=64 << 10)
 
 
 @query
@@ -183,7 +208,9 @@ def retrieve_documents(spark, folder):
 @query
 def render_prompts(spark, folder):
     asked = _questions(spark, folder)
-    hits = retrieve.retrieve(asked, _saved_index(spark, folder)).join(asked, "question_id")
+    index = _saved_index(spark, folder)
+    hits = materialize(retrieve.search(asked, index).join(asked, "question_id"), "hits")  # the narrow side joins first
+    hits = retrieve.fetch_texts(hits, index)
     prompt = txt.question_prompt(F.col("response"), F.col("question"), ORGANISATION)
     return hits.select("question_id", "rank", prompt.alias("prompt"))
 
@@ -197,16 +224,32 @@ def expand_abbreviations(spark, folder):
     return spread(_sources(spark, folder), "doc_id").select("doc_id", expanded.alias("response"))
 
 
-@query
-def expand_abbreviations_table(spark, folder):
-    """The dictionary is a table: one entry per language code in the documents."""
+def _language_entries(spark, folder):
+    """One entry per language code in the documents, some chained, repeated in other case, or with a part missing."""
     codes = tables.test_table(spark, folder, "documents").select(F.upper("lang").alias("abbreviation")).distinct()
-    dictionary = codes.select(
-        F.ascii("abbreviation").alias("position"), "abbreviation", F.concat(F.lit("language "), "abbreviation").alias("full_text")
-    )
-    return answer.expand_with_table(
-        spread(_sources(spark, folder), "doc_id").select("doc_id", "response"), "response", "doc_id", dictionary
+    full = F.when(F.col("abbreviation") == "DE", "language de or fr, see es").otherwise(F.concat(F.lit("language "), F.lower("abbreviation")))
+    entries = codes.select(
+        F.when(F.col("abbreviation") == "DE", 1).otherwise(10 + F.ascii("abbreviation") * 256 + F.ascii(F.substring("abbreviation", 2, 1))).alias("position"),
+        "abbreviation",
+        full.alias("full_text"),
     )
+    again = entries.select((F.col("position") + 100_000).alias("position"), F.lower("abbreviation"), F.lit("never"))
+    missing = entries.select("position", F.lit(None).cast("string"), "full_text")
+    return entries.unionByName(again.toDF(*entries.columns)).unionByName(missing.toDF(*entries.columns))
+
+
+@query
+def expand_abbreviations_table(spark, folder):
+    """The dictionary is a table; so few entries become a literal."""
+    texts = spread(_sources(spark, folder), "doc_id").select("doc_id", "response")
+    return answer.expand_with_table(texts, "response", _language_entries(spark, folder))
+
+
+@query
+def expand_abbreviations_join(spark, folder):
+    """The same by the way of larger dictionaries."""
+    texts = spread(_sources(spark, folder), "doc_id").select("doc_id", "response")
+    return answer.expand_with_table(texts, "response", _language_entries(spark, folder), limit=1)
 
 
 def _said(spark, folder):
@@ -218,13 +261,23 @@ def filter_bad_answers(spark, folder):
     return _said(spark, folder).filter(txt.is_good_answer(F.col("answer"), PHRASES))
 
 
+def _openings(spark, folder):
+    """The opening two words of every benchmark item, with null and empty phrases among them."""
+    opening = F.lower(F.regexp_extract("text", r"^[^ \n]+ [^ \n]+", 0))
+    phrases = tables.test_table(spark, folder, "benchmark").select(opening.alias("phrase"))
+    return phrases.unionByName(phrases.limit(1).select(F.lit(None).cast("string").alias("phrase")))
+
+
 @query
 def filter_bad_answers_table(spark, folder):
-    """The phrases are a table: the opening two words of every benchmark item."""
-    opening = F.lower(F.regexp_extract("text", r"^[^ \n]+ [^ \n]+", 0))
-    phrases = tables.test_table(spark, folder, "benchmark").select(opening.alias("phrase")).filter("phrase <> ''")
-    said = _said(spark, folder).withColumn("turn_id", _turn_id())
-    return answer.reject_by_table(said, phrases, "turn_id").select("conv_id", "turn", "answer")
+    """The phrases are a table; so few become a literal."""
+    return answer.reject_by_table(_said(spark, folder), _openings(spark, folder))
+
+
+@query
+def filter_bad_answers_blocks(spark, folder):
+    """The same by the way of larger phrase tables, in several blocks."""
+    return answer.reject_by_table(_said(spark, folder), _openings(spark, folder), limit=1, block_bytes=4096)
 
 
 def _candidates(spark, folder):
@@ -259,6 +312,27 @@ def answer_questions(spark, folder):
     return answer.answer_questions(_questions(spark, folder), _saved_index(spark, folder), phrases=PHRASES)
 
 
+def _reading(prompts, options):
+    """A stand-in model: quotes the opening of the context, and fails on prompts of certain lengths."""
+    if any(len(prompt) % 5 == 0 for prompt in prompts):
+        raise ValueError("no room")
+    return [(" ".join(p.split("### Context ")[1].split("  ### Question:")[0].split(" ### Question:")[0].split()[:8]), None) for p in prompts]
+
+
+def _read(spark, folder):
+    return answer.answer_with_failures(_questions(spark, folder), _saved_index(spark, folder), lambda: _reading, phrases=PHRASES)
+
+
+@query
+def answer_with_model(spark, folder):
+    return _read(spark, folder)[0]
+
+
+@query
+def answer_failures(spark, folder):
+    return _read(spark, folder)[1]
+
+
 def _first_words(count: int):
     """A stand-in model: quotes the first words of a prompt and refuses long prompts."""
 
@@ -289,13 +363,14 @@ def route_failures(spark, folder):
 
 
 def _echo():
-    """A stand-in for a tuned model: repeats its prompt, then the first words of the instruction."""
+    """A stand-in for a tuned model: repeats its prompt, then words of the instruction with breaks and indents."""
 
     def model(prompts, options):
         texts = []
         for prompt, option in zip(prompts, options):
             words = prompt.split(fixed.INSTRUCTION_MARK)[1].split(fixed.RESPONSE_MARK)[0].split()
-            texts.append((f"{prompt} {' '.join(words[: option['max_tokens']])} {fixed.END_OF_TEXT}", None))
+            said = "\n    ".join(words[: option["max_tokens"]])
+            texts.append((f"{prompt}line  one\n{said} {fixed.END_OF_TEXT}", None))
         return texts
 
     return model
@@ -345,6 +420,16 @@ def sft_tokens(spark, folder):
     return tokens.select("example_id", F.size("input_ids").alias("n_tokens"), "truncated", _joined("input_ids").alias("input_ids"))
 
 
+@query
+def marker_ids(spark, folder):
+    """The marker's id in a vocabulary table of all words of the documents, beside the reserved id without one."""
+    words = _sources(spark, folder).select(F.explode(txt.words(F.col("response"))).alias("token")).distinct()
+    numbered = words.select("token", tuning.token_id(F.col("token")).alias("id"))
+    vocabulary = numbered.unionByName(spark.createDataFrame([(fixed.END_OF_TEXT, 7)], "token string, id int"))
+    ids = [tuning.marker_id().alias("reserved"), tuning.marker_id(vocabulary=vocabulary).alias("stored"), tuning.marker_id("the", vocabulary).alias("word")]
+    return spark.range(1).select(*ids)
+
+
 @query
 def sft_split(spark, folder):
     return tuning.exact_split(_example_ids(spark, folder), "example_id", TEST_FRACTION)
@@ -367,7 +452,7 @@ def sft_dataset(spark, folder):
 @query
 def collate_batches(spark, folder):
     tokens = tuning.tokenize(tuning.training_texts(_pairs(spark, folder))).select("example_id", "input_ids")
-    return tuning.collate(tokens, "example_id").select(
+    return tuning.collate(tokens, "example_id", shards=COLLATE_SHARDS).select(
         "example_id",
         "shard",
         "batch",
@@ -414,6 +499,14 @@ def eval_summary(spark, folder):
     return evaluate.summarize(_eval_results(spark, folder))
 
 
+@query
+def eval_exact_match(spark, folder):
+    """The share of answers that equal the question's reference answer, the reply of the conversation."""
+    wanted = tuning.turn_pairs(_conversations(spark, folder)).select(F.col("example_id").alias("question_id"), F.col("response").alias("wanted"))
+    results = _eval_results(spark, folder).join(wanted, "question_id")
+    return evaluate.summarize(results, "wanted").select("run_id", "n_questions", "exact_match")
+
+
 def _version_log(spark, folder):
     """Every document counts as a version of its source; a good-quality label makes it Production."""
     documents = tables.test_table(spark, folder, "documents").select("doc_id", "source")
@@ -437,6 +530,11 @@ def latest_version(spark, folder):
     return versions.latest(_version_log(spark, folder)[0])
 
 
+@query
+def latest_named_version(spark, folder):
+    return versions.latest(_version_log(spark, folder)[0], "src3")
+
+
 @query
 def resolve_alias(spark, folder):
     log, aliases = _version_log(spark, folder)
@@ -478,11 +576,43 @@ def parse_requests(spark, folder):
     return good
 
 
+def _mixed_bodies(spark, folder):
+    """A body per conversation turn: readable in any form, without questions, null, cut off, or no request at all."""
+    asked = F.array("text")
+    good = payload.column_request(asked)
+    kinds = [
+        good,
+        payload.split_request(asked),
+        payload.list_request(asked),
+        payload.list_request(F.array(F.array("text"))),
+        payload.list_request(F.array().cast("array<string>")),
+        F.lit(None).cast("string"),
+        F.expr("substring(text, 1, 20)"),
+        F.substring(good, F.lit(1), F.length(good) - 3),
+    ]
+    kind = F.col("conv_id") * 3 + F.col("turn")
+    body = F.element_at(F.array(*kinds), (kind % len(kinds) + 1).cast("int"))
+    return _conversations(spark, folder).select(_turn_id().alias("request_id"), body.alias("body"))
+
+
 @query
 def unreadable_requests(spark, folder):
-    """Every raw turn that is not a request body ends up in the failed table."""
-    raw = _conversations(spark, folder).select(_turn_id().alias("request_id"), F.col("text").alias("body"))
-    return requests.parse_requests(raw)[1]
+    return requests.parse_requests(_mixed_bodies(spark, folder))[1]
+
+
+@query
+def parse_mixed_requests(spark, folder):
+    return requests.parse_requests(_mixed_bodies(spark, folder))[0]
+
+
+@query
+def respond_to_all(spark, folder):
+    """Every readable request gets a response: the questions come back as answers, in an empty list if there are none."""
+    bodies = _mixed_bodies(spark, folder)
+    asked = requests.parse_requests(bodies)[0]
+    nothing = F.lit(None).cast("string")
+    answers = asked.select("request_id", "pos", F.col("question").alias("answer"), nothing.alias("source"), nothing.alias("output_metadata"))
+    return requests.format_responses(answers, asked=requests.readable_requests(bodies))
 
 
 def _responses(spark, folder):
@@ -527,6 +657,9 @@ def stream_answers(spark, folder):
     index = _saved_index(spark, folder)
     schema = _conversations(spark, folder).schema
     turns = chat.event_stream(spark, folder, schema, name_pattern="conversations.parquet")
+    # A chat service delivers some events twice.
+    times = F.when(F.col("turn") % 4 == 0, 2).otherwise(1)
+    turns = turns.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy")
     reply_path = scratch_path(spark, "replies")
     chat.start_replies(
         chat.mentions(_events(turns)),
