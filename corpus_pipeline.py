@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences: filter, deduplicate, decontaminate, pack.
 
-Every stage takes what the one before kept. Rows with a null doc_id are scored, deduplicated and packed like others
-where that has a meaning: they stay in the filters and in the deduplication, which can't name them.
+Every stage takes what the one before kept. Rows with a null doc_id are filtered by their texts and packed like others;
+deduplication and decontamination, which name documents by their ids, let them stay.
 """
 
 from __future__ import annotations
@@ -14,23 +14,16 @@ from lorespan.llm import decontaminate, jaccard_join, packing, quality, toxicity
 from lorespan.llm.common import materialize, table
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the rejected ids, in the same columns."""
-    return docs.join(rejected.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
-
-
 def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity grammar scores one half or more go."""
     labels = table(spark, sf_dir, "labels").where(~toxicity.held_out())
-    scores = toxicity.score(docs, toxicity.fit(docs, labels))
-    return _without(docs, scores.where("score >= 0.5"))
+    return toxicity.without_toxic(docs, toxicity.fit(docs, labels))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifiers score below one half go."""
     labels = table(spark, sf_dir, "labels").where(~toxicity.held_out())
-    scores = quality.score(docs, quality.fit(docs, labels))
-    return _without(docs, scores.where("score < 0.5"))
+    return quality.without_bad(docs, quality.fit(docs, labels))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +34,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated"))
+    hit = found.where("contaminated").select("doc_id").distinct()
+    return docs.join(hit, "doc_id", "left_anti").select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

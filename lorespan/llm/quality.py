@@ -122,14 +122,20 @@ def co_train(text: np.ndarray, metadata: np.ndarray, y: np.ndarray, apart: np.nd
     return Model(fitted["text"], fitted["metadata"], scale, cal["text"], cal["metadata"], both)
 
 
+_INPUTS = (("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "long"))
+
+
 def _inputs(docs: DataFrame) -> DataFrame:
     named = {c.lower() for c in docs.columns}
-    other = [(F.col(c) if c in named else F.lit(None)).cast(t).alias(c) for c, t in (("lang", "string"), ("source", "string"), ("n_chars", "long"))]
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *other)
+    columns = [(F.col(c) if c in named else F.lit(None)).cast(t).alias(c) for c, t in _INPUTS]
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *columns)
 
 
 def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    return text_view(batch.column("text")), metadata_view(*(batch.column(c).to_pylist() for c in ("lang", "source", "n_chars")))
+    nothing = [None] * batch.num_rows
+    names = batch.schema.names
+    metadata = (batch.column(c).to_pylist() if c in names else nothing for c in ("lang", "source", "n_chars"))
+    return text_view(batch.column("text")), metadata_view(*metadata)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
@@ -181,3 +187,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.score(*_views(batch)))], ["doc_id", "score"])
 
     return _inputs(docs).mapInArrow(run, "doc_id long, score double")
+
+
+def without_bad(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more, in all their columns. Rows are decided where they are read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 1000):
+                rows = batch.slice(a, 1000)
+                yield rows.filter(pa.array(model.score(*_views(rows)) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -281,6 +281,20 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, score double")
 
 
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, in all their columns. Rows are decided where they are read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(Lexicon(model.insults))
+        for batch in batches:
+            for a in range(0, batch.num_rows, 500):
+                rows = batch.slice(a, 500)
+                scores = sigmoid(decision(scorer.features(rows.column("text").cast(pa.string()).to_pylist()), model.beta))
+                yield rows.filter(pa.array(scores < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def matched_clauses(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, start, end, score`` of every matched clause, in code points of the lower-cased text."""
 
