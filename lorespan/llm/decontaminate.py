@@ -183,7 +183,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> Dat
     ``items_sha256`` is the digest of the ids of the items that occur, sorted as strings and comma-joined.
 
     Null texts have no words; items without words have no window; items with a null id can hit but are not
-    listed. Rows that repeat a doc_id share their hits. Other columns are ignored. An empty table of items
+    listed. Rows that repeat a doc_id share their hits; rows with a null doc_id are counted but never hit. Other columns are ignored. An empty table of items
     leaves every document clean; an empty table of documents gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
