@@ -157,10 +157,11 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """
     stored = spark.read.parquet(path)
     sizes = stored.groupBy("part").agg(F.sum("n_tokens").alias("size"))
-    # One row for every part of the table, as many as it has files.
+    # One row of two numbers for every part, that is for every RANGE_BYTES of text: 16 bytes for 64 MB. So it is
+    # broadcast, and no token is moved for it.
     before = F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     bases = sizes.select("part", F.coalesce(before, F.lit(0)).alias("base"))
-    return stored.join(bases, "part").select("doc_id", (F.col("base") + F.col("part_start")).alias("start"), "n_tokens", "tokens")
+    return stored.join(F.broadcast(bases), "part").select("doc_id", (F.col("base") + F.col("part_start")).alias("start"), "n_tokens", "tokens")
 
 
 def read_documents(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
