@@ -13,11 +13,13 @@ product runs over those columns only:
    one component are skipped, and pairs whose parity bitmaps differ in more places than their sizes
    allow are dropped (each differing bit is an n-gram that only one of both has). What is left goes
    through step 3.
+5. So far the links connect all that is linked, but a component can have more. The sets of one component are
+   dealt to pairs of bounded blocks, whole sets are multiplied there, and links are counted per set.
 
-So no link between different texts is lost, a large group of copies costs one row, a group of near copies
+So every link between different texts counts, a large group of copies costs one row, a group of near copies
 is joined through its first members, and a passage that many documents share yields few pairs. The
 column order puts n-grams found often in a bounded sample of the documents last; the order decides the
-speed only, never the result.
+speed only, never the result. ``keep_one`` needs no counts and leaves step 5 out.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lorespan.llm.common import IdFilter, discarded, list_array, materialize, signed
@@ -40,7 +42,10 @@ SHORT = 8
 SAMPLE_DOCUMENTS, OFTEN = 4096, 4
 #: Rows of a block of the product of a long list.
 BLOCK_ROWS = 512
+#: Sets and hashes of a block of a component whose links are counted, and columns multiplied at once.
+COUNT_ROWS, COUNT_HASHES, COUNT_COLUMNS = 1024, 1 << 19, 4096
 
+_SET = ["high", "low", "n_shingles"]
 _SETS = "doc_id long, n_shingles long, high long, low long, parity binary"
 _COLUMNS = "doc_id long, n_shingles long, high long, low long, columns array<long>"
 _POSTS = "kind byte, col long, a long, b long, n_a int, n_b int, at_a int, at_b int"
@@ -50,36 +55,21 @@ def similar_components(docs: DataFrame, percent: int = 75, width: int = 5, sampl
     """``doc_id, n_shingles, component_id, n_links`` of every row of ``docs`` (``doc_id long, text``).
 
     Two documents link when 100 * intersection >= ``percent`` * union of their sets of ``width``-word
-    shingles. ``component_id`` is the smallest doc_id reachable, ``n_links`` the number of verified links
-    of the document's set to other sets (a spanning part of all links, 0 for copies only).
+    shingles. ``component_id`` is the smallest doc_id reachable, ``n_links`` the number of all links of the
+    document's set to other sets (0 for copies only).
 
     Null, empty and blank texts have an empty set, link with nothing and are their own component. Rows
     with a null doc_id keep a null component. Rows that repeat a doc_id are one node. Other columns are
     ignored. An empty table gives an empty result.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = materialize(_sets(docs, width), "sets")
-    classes = sets.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("high", "low", "n_shingles").agg(
-        F.min("doc_id").alias("class_id")
-    )
-    classes = materialize(classes, "classes")
-    links = _links(docs, sets, classes, percent, width, _often(docs, width, sample))
-    components = connected_components(links)
-    degrees = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
-    known = (
-        classes.join(components.withColumnRenamed("node", "class_id"), "class_id", "left")
-        .join(degrees, "class_id", "left")
-        .select("high", "low", "n_shingles", F.coalesce("component", "class_id").alias("component_id"), "n_links")
-    )
+    docs = _narrow(docs)
+    sets, members = _grouped(docs, percent, width, sample)
+    members = materialize(members, "members")
+    known = members.join(_link_counts(docs, members, percent, width), _SET, "left").select(*_SET, "component_id", "n_links")
     return (
-        sets.select("doc_id", "n_shingles", "high", "low")
-        .join(known, ["high", "low", "n_shingles"], "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
-            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        )
+        sets.select("doc_id", *_SET)
+        .join(known, _SET, "left")
+        .select("doc_id", "n_shingles", _component(), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     )
 
 
@@ -88,11 +78,144 @@ def keep_one(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
 
     Rows with a null doc_id stay; of rows that repeat the doc_id of the kept one, all stay.
     """
-    found = similar_components(docs, percent, width)
+    sets, members = _grouped(_narrow(docs), percent, width, SAMPLE_DOCUMENTS)
+    found = sets.select("doc_id", *_SET).join(members.drop("class_id"), _SET, "left").select("doc_id", _component())
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
+def _narrow(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def _component() -> Column:
+    return F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
+
+
+def _grouped(docs: DataFrame, percent: int, width: int, sample: int) -> tuple[DataFrame, DataFrame]:
+    """The set of every document, and ``high, low, n_shingles, class_id, component_id`` of every different set."""
+    sets = materialize(_sets(docs, width), "sets")
+    classes = sets.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("high", "low", "n_shingles").agg(
+        F.min("doc_id").alias("class_id")
+    )
+    classes = materialize(classes, "classes")
+    components = connected_components(_links(docs, sets, classes, percent, width, _often(docs, width, sample)))
+    members = classes.join(components.withColumnRenamed("node", "class_id"), "class_id", "left")
+    return sets, members.select(*_SET, "class_id", F.coalesce("component", "class_id").alias("component_id"))
+
+
+def _link_counts(docs: DataFrame, members: DataFrame, percent: int, width: int) -> DataFrame:
+    """``high, low, n_shingles, n_links`` of the sets that have links: each meets all sets of its component.
+
+    Sets that link are in one component and their size classes are equal or neighbours. A component's size class is
+    cut into blocks of bounded rows and hashes, and a task compares two blocks; no pair becomes a row.
+    """
+    groups = members.groupBy("component_id").agg(F.count("*").alias("sets"), (F.min("class_id") != F.max("class_id")).alias("ids_differ"))
+    placed = members.join(groups.where("sets > 1"), "component_id")
+    two = (F.col("sets") == 2) & F.col("ids_differ")  # joined by their one link
+    own = _size_class(percent)
+    rows = placed.where(~two).withColumn("size_class", F.explode(F.array(own, own + 1))).withColumn("visits", F.col("size_class") > own)
+    rows = materialize(rows.select(*_SET, "class_id", "component_id", "size_class", "visits"), "count_rows")
+    cuts = (
+        rows.groupBy("component_id", "size_class")
+        .agg(F.count("*").alias("n"), F.sum("n_shingles").alias("hashes"), F.min("visits").alias("guests_only"))
+        .where("n > 1 AND NOT guests_only")
+        .select("component_id", "size_class", F.ceil(F.greatest(F.col("n") / COUNT_ROWS, F.col("hashes") / COUNT_HASHES)).alias("blocks"))
+    )
+    rows = rows.join(cuts, ["component_id", "size_class"]).withColumn("block", F.pmod(F.xxhash64("high", "low"), "blocks"))
+    concerned = IdFilter(rows.select("class_id").distinct(), "class_id")
+    test = concerned.tester()
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(test(batch.column("slot").to_numpy())))
+            found = [s for _, s in shingle_sets(batch.column("text"), width)]
+            if found:
+                high, low = (signed(np.array(d, dtype=np.uint64)) for d in zip(*(_digests(s) if len(s) else (0, 0) for s in found)))
+                sizes = [len(s) for s in found]
+                values = list_array(signed(np.concatenate(found)), sizes, pa.int64())
+                names = ["class_id", *_SET, "hashes"]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(high), pa.array(low), pa.array(sizes, pa.int64()), values], names)
+
+    texts = docs.where("doc_id IS NOT NULL").select("doc_id", concerned.slot(F.col("doc_id")).alias("slot"), "text")
+    whole = texts.mapInArrow(hashes, "class_id long, high long, low long, n_shingles long, hashes array<long>")
+    cell = ["component_id", "size_class", "x", "y"]
+    dealt = (
+        rows.hint("merge").join(whole, ["class_id", *_SET])
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select("component_id", "size_class", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "visits", *_SET, "hashes")
+        .repartition(*cell)
+        .sortWithinPartitions(*cell, "block", *_SET)
+    )
+    counted = dealt.mapInArrow(_count_cells(percent), "high long, low long, n_shingles long, n_links long")
+    one = placed.where(two).select(*_SET, F.lit(1).cast("long").alias("n_links"))
+    return counted.groupBy(*_SET).agg(F.sum("n_links").alias("n_links")).unionByName(one)
+
+
+def _count_cells(percent: int):
+    """From rows sorted by cell (two blocks of one size class of a component): links of each set in the cell."""
+    keys, plain = ("component_id", "size_class", "x", "y"), ("block", "visits", "high", "low", "n_shingles")
+
+    def count(rows: dict, x: int, y: int) -> pa.RecordBatch:
+        n, values = rows["n_shingles"], rows["hashes"]
+        # Rows of the documents that repeat both id and text.
+        again = np.r_[False, (rows["high"][1:] == rows["high"][:-1]) & (rows["low"][1:] == rows["low"][:-1]) & (n[1:] == n[:-1])]
+        row = np.repeat(np.arange(len(n)), n)
+        _, col, times = np.unique(values, return_inverse=True, return_counts=True)
+        shared = times > 1
+        row, col = row[shared[col]], (np.cumsum(shared) - 1)[col[shared[col]]]
+        order = np.argsort(col, kind="stable")
+        row, col = row[order], col[order]
+        left, right = (np.flatnonzero((rows["block"] == block) & ~again) for block in (x, y))
+        common = np.zeros((len(left), len(right)))
+        for start in range(0, int(shared.sum()), COUNT_COLUMNS):
+            a, b = np.searchsorted(col, (start, start + COUNT_COLUMNS))
+            matrix = np.zeros((len(n), int(col[b - 1]) - start + 1), np.float32)
+            matrix[row[a:b], col[a:b] - start] = 1
+            common += matrix[left] @ matrix[right].T
+        linked = (common > 0) & (100 * common >= percent * (n[left][:, None] + n[right][None, :] - common))
+        linked &= ~(rows["visits"][left][:, None] & rows["visits"][right][None, :])  # met in their own class
+        if x == y:
+            np.fill_diagonal(linked, False)
+            which, links = left, linked.sum(axis=1)
+        else:
+            which, links = np.r_[left, right], np.r_[linked.sum(axis=1), linked.sum(axis=0)]
+        which, links = which[links > 0], links[links > 0]
+        return pa.RecordBatch.from_arrays([*(pa.array(rows[k][which]) for k in _SET), pa.array(links.astype(np.int64))], [*_SET, "n_links"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        key = None
+
+        def done() -> pa.RecordBatch:
+            return count({k: np.concatenate([h[k] for h in held]) for k in held[0]}, *key[2:])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in (*keys, *plain)}
+            ends, values = batch.column("hashes").offsets.to_numpy(), batch.column("hashes").values.to_numpy()
+            cuts = np.flatnonzero(np.any([now[k][1:] != now[k][:-1] for k in keys], axis=0)) + 1
+            edges = [0, *cuts.tolist(), batch.num_rows]
+            for a, b in zip(edges[:-1], edges[1:]):
+                here = tuple(int(now[k][a]) for k in keys)
+                if held and here != key:
+                    yield done()
+                    held = []
+                key = here
+                # Copies, so that a batch can be let go.
+                held.append({k: now[k][a:b].copy() for k in plain} | {"hashes": values[ends[a] : ends[b]].copy()})
+        if held:
+            yield done()
+
+    return run
+
+
+def _size_class(percent: int) -> Column:
+    """Sets that can link are of one size class or of neighbouring ones."""
+    return F.floor(F.log(F.col("n_shingles").cast("double")) / math.log(100 / percent * 1.0000001)).cast("int")
+
+
 def _prefix(n: int, percent: int) -> int:
     return n + (-percent * n // 100) + 1 if n else 0
 

@@ -74,3 +74,25 @@ def test_threshold_is_exact(spark):
     df = spark.createDataFrame([(1, a), (2, b), (3, c)], "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in jaccard_join.similar_components(df).collect()}
     assert got == {1: 1, 2: 1, 3: 3}
+
+
+def brute_links(rows):
+    sets = {i: shingles(t) for i, t in rows}
+    different = set(sets.values()) - {frozenset()}
+    return {i: sum(s != t and 100 * len(s & t) >= 75 * len(s | t) for t in different) if s else 0 for i, s in sets.items()}
+
+
+@pytest.mark.parametrize("size, block_rows", [(9, 1024), (40, 7)])
+def test_all_links_count_whatever_the_group_size(spark, monkeypatch, size, block_rows):
+    monkeypatch.setattr(jaccard_join, "COUNT_ROWS", block_rows)
+    draw = random.Random(size)
+    vocabulary = [f"w{k}" for k in range(300)]
+    base = draw.choices(vocabulary, k=100)
+    # Mutually similar texts that share their first columns, and texts of falling length, of which neighbours link.
+    texts = [" ".join([*base, f"tail{k}"]) for k in range(size)]
+    texts += near_copies(draw, draw.choices(vocabulary, k=80), size, 3)
+    texts += [" ".join(base[:k]) for k in range(100, 100 - 2 * size, -2)] + texts[:2]
+    rows = list(enumerate(texts)) + [(0, texts[0])]
+    got = jaccard_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string"), sample=0).collect()
+    assert {r.doc_id: r.n_links for r in got} == brute_links(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows)
