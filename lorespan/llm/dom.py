@@ -28,6 +28,8 @@ _P = (frozenset({"p"}), frozenset({"button", "td", "th", "table", "object"}))
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<", re.S
 )
+#: In these, markup is text up to their own end tag.
+_ENDS = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|$)", re.I) for t in ("script", "style", "textarea", "title", "iframe")}
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _NAME = re.compile(r"[A-Za-z]+")
 
@@ -81,7 +83,9 @@ def leaf_blocks(html: str) -> Iterator[Block]:
         names = tuple(n for tag, words in stack for n in (tag, *words))
         in_links = sum(t == "a" for t, _ in stack)
 
-    for m in _TOKEN.finditer(html):
+    at_char = 0
+    while (m := _TOKEN.match(html, at_char)) is not None:
+        at_char = m.end()
         closing, tag, attributes = m.group(1, 2, 3) if m.group(2) else m.group(4, 5, 6)  # the latter: quotes don't pair
         if tag is None:
             text = m.group()
@@ -95,6 +99,11 @@ def leaf_blocks(html: str) -> Iterator[Block]:
                     link_chars += len(text)
             continue
         tag, closing = tag.lower(), closing == "/"
+        if not closing and tag in _ENDS and (skip not in ("svg", "math") or tag in ("script", "style")) and not attributes.endswith("/"):
+            # The content is no markup: go straight to the end tag; without one the rest of the page is content.
+            end = _ENDS[tag].search(html, at_char)
+            at_char = end.end() if end else len(html)
+            continue
         if skip:
             if closing and tag == skip:
                 skip = ""

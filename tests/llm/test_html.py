@@ -83,3 +83,19 @@ def test_tables_with_odd_rows(spark, field):
     got = sorted((r.page_id or 0, r.url, len(r.text), r.n_chars) for r in html_crf.extract(df, field).fillna({"url": ""}).collect())
     assert got == [(0, "v", 3, 3), (1, "u", 0, 0), (2, "", 0, 0), (3, "u", 0, 0), (3, "u", 0, 0), (4, "u", 50_000 * 11 - 2, 50_000 * 11 - 2)]
     assert html_crf.extract(df.limit(0), field).collect() == []
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<script>for(i=0;i<n;i++){f(i)}</script><p>Body</p>",
+        "<script>if(a<b)c(\"it's\")</SCRIPT ><p>Body</p>",
+        "<script>var s='<!--';</script><p>Body</p>",
+        "<script>var s='</scripts>', t=1<x;</script\n><p>Body</p>",
+        "<style>a::before{content:'<b'}</style><p>Body</p>",
+        "<title>a<b or <!-- c</title><p>Body</p>",
+        "<noscript><style>x<y{}</style></noscript><svg><script>a<b</script><title/></svg><p>Body</p>",
+    ],
+)
+def test_markup_like_content_of_scripts_ends_at_their_end_tag(html):
+    assert texts(html) == ["Body"]
