@@ -13,8 +13,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from base64 import b32encode, b64encode
 from collections.abc import Iterator
-from hashlib import sha256
+from hashlib import new, sha256
 from uuid import UUID
 
 import pyarrow as pa
@@ -126,6 +127,23 @@ def _member(data: memoryview, at: int) -> tuple[bytes, int] | None:
     return b"".join(parts), place - len(unpacker.unused_data)
 
 
+def _digest_matches(stated: str, data: bytes) -> bool | None:
+    """Whether ``data`` has the stated digest (``algorithm:value`` in hex, base32 or base64); None if it can't be checked."""
+    name, colon, value = stated.partition(":")
+    if not colon:
+        name, value = "sha256", stated
+        if len(stated) != 64:
+            return None
+    name, value = name.strip().lower().replace("-", ""), value.strip()
+    if name not in ("md5", "sha1", "sha256", "sha384", "sha512"):
+        return None
+    digest = new(name, data, usedforsecurity=False).digest()
+    if value.lower() == digest.hex():
+        return True
+    value = value.rstrip("=")
+    return value.upper() == b32encode(digest).decode().rstrip("=") or value in (b64encode(digest).decode().rstrip("="), b64encode(digest, b"-_").decode().rstrip("="))
+
+
 def _record(data: bytes | memoryview, at: int) -> tuple[dict[str, str], bytes, int] | None:
     """(headers, block, end) of the record at ``at``; None if a check fails."""
     head_end = -1
@@ -149,8 +167,7 @@ def _record(data: bytes | memoryview, at: int) -> tuple[dict[str, str], bytes, i
     block = bytes(data[start:end])
     if bytes(data[end : end + 4]) != _END:
         return None
-    stated = headers.get("warc-block-digest", "")
-    if stated.startswith("sha256:") and sha256(block).hexdigest() != stated[7:]:
+    if _digest_matches(headers.get("warc-block-digest", ""), block) is False:
         return None
     return headers, block, end + 4
 
@@ -202,7 +219,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
 
     The size and digest of a response are those of the payload read; those of a revisit are the stated ones of
     the payload it stands for. Records of other types have no page. A response whose payload doesn't match its stated
-    digest is a gap. ``payloads`` adds the payloads of responses.
+    digest is a gap; algorithms other than MD5 and SHA are not checked. Stated digests other than SHA-256 keep their algorithm's name. ``payloads`` adds the payloads of responses.
     """
 
     def rows_of(file: str, data: bytes) -> Iterator[tuple]:
@@ -210,18 +227,18 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
             if kind == "gap":
                 yield kind, file, start, end, head, None, None, None, None, None, None, None
                 continue
-            stated = head.get("warc-payload-digest", "").removeprefix("sha256:") or None
+            stated = head.get("warc-payload-digest") or None
             page, refers = (int(v) if (v := head.get(k, "")).lstrip("-").isdigit() else None for k in ("x-page-id", "x-refers-to-page-id"))
             http, _, payload = block.partition(_END)
             size = digest = None
             if head["warc-type"] == "response":
                 size, digest = len(payload), sha256(payload).hexdigest()
-                if stated is not None and stated != digest:
+                if stated is not None and _digest_matches(stated, payload) is False:
                     yield "gap", file, start, end, "payload digest differs", None, None, None, None, None, None, None
                     continue
             elif head["warc-type"] == "revisit":
                 length = re.search(rb"(?im)^content-length:\s*(\d+)", http)
-                size, digest, payload = int(length.group(1)) if length else None, stated, None
+                size, digest, payload = int(length.group(1)) if length else None, stated and re.sub("^sha-?256:", "", stated, flags=re.I), None
             yield (
                 kind, file, start, end, None, head["warc-type"], page, head.get("warc-target-uri"), size, digest, refers,
                 payload if payloads and head["warc-type"] == "response" else None,

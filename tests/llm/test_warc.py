@@ -99,3 +99,23 @@ def test_reader_reports_gaps(spark, tmp_path):
     assert [(r.kind, r.page_id, r.start, r.end) for r in got] == [
         ("record", 0, 0, len(one)), ("gap", None, len(one), len(one) + 30), ("record", 2, len(one) + 30, len(one) + 30 + len(three))
     ]
+
+
+def test_digests_of_other_algorithms_and_encodings(spark, tmp_path):
+    import base64
+    from hashlib import sha1
+
+    payload = b"payload " * 20
+    raw1, raw2 = sha1(payload).digest(), sha256(payload).digest()
+    forms = ["sha1:" + base64.b32encode(raw1).decode(), "SHA1:" + raw1.hex().upper(), "sha256:" + raw2.hex().upper(), "sha256:" + base64.b32encode(raw2).decode()]
+    forms += ["blake3:abc", "sha-256:" + base64.b64encode(raw2).decode(), "sha1:" + base64.b32encode(sha1(b"other").digest()).decode()]
+    parts = []
+    for k, form in enumerate(forms):
+        plain = warc.record(k, "u", payload, len(payload), raw2.hex(), None)
+        plain = plain.replace(b"WARC-Payload-Digest: sha256:" + raw2.hex().encode(), b"WARC-Payload-Digest: " + form.encode())
+        block = plain.split(b"\r\n\r\n", 1)[1][:-4]
+        parts.append(plain.replace(sha256(block).hexdigest().encode(), sha256(block).hexdigest().upper().encode()))
+    (tmp_path / "x.warc").write_bytes(b"".join(parts))
+    got = warc.read_archives(spark, str(tmp_path)).orderBy("start").collect()
+    assert [(r.kind, r.page_id) for r in got] == [("record", k) for k in range(6)] + [("gap", None)]
+    assert {r.payload_digest for r in got[:6]} == {raw2.hex()} and got[6].reason == "payload digest differs"
