@@ -112,19 +112,67 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_REVISIT
     )
 
 
-def _member(data: memoryview, at: int) -> tuple[bytes, int] | None:
-    """(content, end) of the gzip member at ``at``; None if it fails its checks."""
+def _member(data: memoryview, at: int) -> tuple[bytes, int, bool]:
+    """(content, end, sound) of the gzip member at ``at``. Of a damaged or cut-off one: what was unpacked before that."""
     unpacker, parts, place = zlib.decompressobj(31), [], at
-    try:
-        while not unpacker.eof:
-            if place >= len(data):
-                return None
-            piece = data[place : place + _FEED]
-            place += len(piece)
+    while not unpacker.eof and place < len(data):
+        piece, before = data[place : place + _FEED], unpacker.copy()
+        try:
             parts.append(unpacker.decompress(piece))
-    except zlib.error:
-        return None
-    return b"".join(parts), place - len(unpacker.unused_data)
+            place += len(piece)
+        except zlib.error:
+            # The same piece byte by byte, for what comes before the error.
+            try:
+                for k in range(len(piece)):
+                    parts.append(before.decompress(piece[k : k + 1]))
+            except zlib.error:
+                return b"".join(parts), place + k, False
+    return b"".join(parts), place - len(unpacker.unused_data), unpacker.eof
+
+
+def _place_of(data: memoryview, at: int, size: int) -> int:
+    """Where in ``data`` the first ``size`` bytes of the member at ``at`` are complete."""
+    unpacker, place, total = zlib.decompressobj(31), at, 0
+    step = _FEED
+    while total < size:
+        before = unpacker.copy()
+        try:
+            got = len(unpacker.decompress(data[place : place + step]))
+        except zlib.error:
+            got = size
+        if step > 1 and total + got >= size:
+            unpacker, step = before, 1
+            continue
+        total, place = total + got, place + step
+    return place
+
+
+def _records(content: bytes, sound: bool) -> Iterator[tuple[int, int, dict[str, str] | None, bytes | None]]:
+    """(start, end, headers, block) of the records in unpacked bytes, and of the parts between them with null headers.
+
+    If the member isn't ``sound``, its sum vouches for nothing: only records whose own digest can be checked are taken.
+    """
+    place, bad = 0, None
+    while place < len(content):
+        one = _record(content, place) if content.startswith(_VERSION, place) else None
+        if one is not None and (sound or _vouched(*one[:2])):
+            if bad is not None:
+                yield bad, place, None, None
+                bad = None
+            yield place, one[2], *one[:2]
+            place = one[2]
+            continue
+        bad = place if bad is None else bad
+        place = content.find(_VERSION, place + 1)
+        place = len(content) if place < 0 else place
+    if bad is not None:
+        yield bad, len(content), None, None
+
+
+def _vouched(headers: dict[str, str], block: bytes) -> bool:
+    return bool(_digest_matches(headers.get("warc-block-digest", ""), block)) or bool(
+        _digest_matches(headers.get("warc-payload-digest", ""), block.partition(_END)[2])
+    )
 
 
 def _digest_matches(stated: str, data: bytes) -> bool | None:
@@ -173,33 +221,42 @@ def _record(data: bytes | memoryview, at: int) -> tuple[dict[str, str], bytes, i
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, object, object]]:
-    """("record", start, end, headers, block) and ("gap", start, end, reason, None) of an archive, in file order."""
+    """("record", start, end, headers, block) and ("gap", start, end, reason, None) of an archive, in file order.
+
+    Places are those in the file. A member's records have its place; a part of a sound member that is no record is a gap
+    with the member's place and the unpacked bytes in the reason. Of a damaged or cut-off member, the records that are
+    whole before the damage are passed on if their digests match, or if only the end of the file cuts it off.
+    A record that ends right where the unpacked bytes end counts as part of the damage, even if it is whole.
+    """
     view, at, bad, reason = memoryview(data), 0, None, ""
     while at < len(data):
         found, end, why = [], at, "no member or version line"
         if data[at : at + 2] == _MAGIC[:2]:
-            member = _member(view, at)
+            content, stop, sound = _member(view, at)
             why = "damaged or cut-off member"
-            if member is not None:
-                content, end = member
-                place = 0
-                while place < len(content) and (one := _record(content, place)) is not None:
-                    found.append(one[:2])
-                    place = one[2]
-                if place < len(content):
-                    found, end, why = [], at, "record in a member fails its checks"
+            found = list(_records(content, sound or stop == len(data)))
+            if sound:
+                end = stop
+            elif last := max((f[1] for f in found if f[2] is not None and f[1] < len(content)), default=0):
+                found, end = [f for f in found if f[1] <= last], _place_of(view, at, last)
+            else:
+                found = []
         elif data[at : at + len(_VERSION)] == _VERSION:
-            one, why = _record(view, at), "record fails its checks"
+            sound, one, why = True, _record(view, at), "record fails its checks"
             if one is not None:
-                found, end = [one[:2]], one[2]
+                found, end = [(at, one[2], *one[:2])], one[2]
         if end > at:
             if bad is not None:
                 yield "gap", bad, at, reason, None
                 bad = None
-            for headers, block in found:
-                yield "record", at, end, headers, block
+            for first, last, headers, block in found:
+                if headers is None:
+                    yield "gap", at, end, f"record in a member fails its checks: unpacked bytes {first} to {last}", None
+                else:
+                    yield "record", at, end, headers, block
             at = end
-            continue
+            if sound or at >= len(data) or data[at : at + 3] == _MAGIC:
+                continue
         if bad is None:
             bad, reason = at, why
         nexts = [p for p in (data.find(_MAGIC, at + 1), data.find(_VERSION, at + 1)) if p >= 0]

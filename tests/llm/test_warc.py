@@ -119,3 +119,18 @@ def test_digests_of_other_algorithms_and_encodings(spark, tmp_path):
     got = warc.read_archives(spark, str(tmp_path)).orderBy("start").collect()
     assert [(r.kind, r.page_id) for r in got] == [("record", k) for k in range(6)] + [("gap", None)]
     assert {r.payload_digest for r in got[:6]} == {raw2.hex()} and got[6].reason == "payload digest differs"
+
+
+def test_members_of_several_records_lose_the_bad_ones_only():
+    parts = members(6)
+    parts[2] = parts[2].replace(b"payload 2", b"PAYLOAD 2")
+    data = warc.gzip_member(b"".join(parts))
+    assert found(data) == ([0, 1, 3, 4, 5], [(0, len(data))])
+    whole = warc.gzip_member(b"".join(members(40)))
+    records, gaps = found(whole[: len(whole) * 2 // 3])
+    assert 10 < len(records) < 40 and records == list(range(len(records)))
+    assert len(gaps) == 1 and gaps[0][1] == len(whole) * 2 // 3
+    records, gaps = found(whole[: len(whole) * 2 // 3] + warc.gzip_member(members(41)[40]))
+    assert len(records) > 10 and records[-1] == 40
+    wrong_sum = whole[:-8] + bytes(8)
+    assert found(wrong_sum)[0] == list(range(39)) and len(found(wrong_sum)[1]) == 1
