@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorespan.llm import decontaminate, html_crf, jaccard_join, packing, quality, sharding, token_store, topk, toxicity, warc
+from lorespan.llm import decontaminate, html_crf, jaccard_join, packing, quality, sharding, token_store, topk, toxicity, warc, whitening
 from lorespan.llm.common import table
 
 
@@ -73,5 +73,11 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``vec_id, component, n, deviation, whitened, explained, identity_error`` and more of every vector and component."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}

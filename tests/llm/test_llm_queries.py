@@ -20,7 +20,7 @@ def test_query_matches_sql(spark, db, folder, name):
 
 def test_all_are_registered():
     names = set(entry.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in queries.registered()} == {f"op{k}" for k in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in queries.registered()} == {f"op{k}" for k in range(1, 14)}
     assert set(oracles.SQL) <= set(queries.registered())
 
 
