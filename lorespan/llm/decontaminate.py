@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lorespan.llm.common import IdFilter, list_array, materialize, signed
-from lorespan.llm.shingles import blocks, string_parts, window_hashes, word_hashes
+from lorespan.llm.shingles import blocks, hashes_and_bounds, string_parts, window_hashes
 
 #: Consecutive item words that count as a leak; an item of fewer words is one window.
 WINDOW = 10
@@ -33,12 +33,12 @@ for _low, _high in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B)):
     SEPARATORS[_low:_high] = False
 
 
-def _texts(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def texts_of(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, word hashes, first word of each text and the end) of blocks of texts."""
     data, offsets = string_parts(column)
     for first, last in blocks(offsets):
         low, high = offsets[first], offsets[last]
-        words, bounds, _, _ = word_hashes(data[low:high], offsets[first : last + 1] - low, SEPARATORS)
+        words, bounds = hashes_and_bounds(data[low:high], offsets[first : last + 1] - low, SEPARATORS)
         yield first, words, bounds
 
 
@@ -48,7 +48,7 @@ def item_windows(items: DataFrame, width: int = WINDOW) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, windows, terms = [], [], []
-            for first, words, bounds in _texts(batch.column("text")):
+            for first, words, bounds in texts_of(batch.column("text")):
                 for k in range(len(bounds) - 1):
                     own = words[bounds[k] : bounds[k + 1]]
                     size = min(width, len(own))
@@ -80,7 +80,7 @@ def _blocks(terms: DataFrame) -> Iterator[np.ndarray]:
         yield np.sort(part.view(np.uint64))
 
 
-def _members(terms: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def members(terms: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the words that are terms, and the index of the term at each."""
     if not len(terms) or not len(words):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -102,9 +102,9 @@ def term_statistics(docs: DataFrame, terms: DataFrame) -> tuple[DataFrame, DataF
             df = np.zeros(len(terms_), np.int64)
             for batch in batches:
                 counts = np.zeros(batch.num_rows, np.int64)
-                for start, words, bounds in _texts(batch.column("text")):
+                for start, words, bounds in texts_of(batch.column("text")):
                     counts[start : start + len(bounds) - 1] = np.diff(bounds)
-                    at, term = _members(terms_, words)
+                    at, term = members(terms_, words)
                     owner = np.searchsorted(bounds, at, "right") - 1
                     df += np.bincount(np.unique(owner * len(terms_) + term) % max(len(terms_), 1), minlength=len(terms_))[: len(terms_)]
                 if first:
@@ -134,8 +134,8 @@ def positional_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for start, words, bounds in _texts(batch.column("text")):
-                    at, term = _members(sent.value, words)
+                for start, words, bounds in texts_of(batch.column("text")):
+                    at, term = members(sent.value, words)
                     if not len(at):
                         continue
                     owner = np.searchsorted(bounds, at, "right") - 1
@@ -238,7 +238,7 @@ def _compared(docs: DataFrame, found: DataFrame) -> DataFrame:
         for batch in batches:
             ids, hits, windows = [], [], []
             names, candidates = batch.column("doc_id").to_pylist(), batch.column("found")
-            for start, words, bounds in _texts(batch.column("text")):
+            for start, words, bounds in texts_of(batch.column("text")):
                 for k in range(len(bounds) - 1):
                     own = words[bounds[k] : bounds[k + 1]]
                     hashes: dict[int, np.ndarray] = {}

@@ -86,3 +86,13 @@ def test_proximity(spark):
     phrases = spark.createDataFrame([("p", "quick brown"), ("q", None), ("r", "the quick")], "phrase_id string, text string")
     got = sorted((r.phrase_id, r.doc_id, r.start) for r in decontaminate.proximity_matches(df, phrases, slop=3).collect())
     assert got == [("p", 1, 1), ("r", 1, 0)]
+
+
+def test_different_long_words_are_no_hit(spark):
+    from test_shingles import parity_words
+
+    a, b = parity_words(1024)
+    docs = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, a)], "item_id long, text string")
+    got = {r.doc_id: r.n_hit for r in decontaminate.contamination(docs, items).collect()}
+    assert got == {1: 1, 2: 0}

@@ -96,3 +96,12 @@ def test_all_links_count_whatever_the_group_size(spark, monkeypatch, size, block
     got = jaccard_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string"), sample=0).collect()
     assert {r.doc_id: r.n_links for r in got} == brute_links(rows)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows)
+
+
+def test_different_long_words_do_not_link(spark):
+    from test_shingles import parity_words
+
+    a, b = parity_words(1024)
+    docs = spark.createDataFrame([(1, a), (2, b), (3, a)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.similar_components(docs).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
