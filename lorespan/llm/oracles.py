@@ -1,5 +1,7 @@
 """DuckDB SQL for the operator queries that SQL can express on whole tables."""
 
+from lorespan.llm import licenses
+
 _WARC = """
 WITH p AS (
     SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
@@ -56,8 +58,82 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
+_LICENSES = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), p(label, phrase) AS (VALUES {phrases}
+), b AS (
+    SELECT row, label, k - 1 AS place
+    FROM (SELECT row, w, label, phrase, unnest(range(1, len(w) - len(phrase) + 2)) AS k FROM d, p WHERE len(w) >= len(phrase))
+    WHERE w[k : k + len(phrase) - 1] = phrase
+), base AS (
+    SELECT row, count(*)::BIGINT AS n_base, min(place)::BIGINT AS first_word, max(place)::BIGINT AS last_word FROM b GROUP BY 1
+), t(label, words, least, half) AS (VALUES {templates}
+), halves AS (
+    SELECT DISTINCT half FROM t
+), blocks AS (
+    SELECT row, half, w[k * half + 1 : k * half + 2 * half] AS own
+    FROM (SELECT row, w, half, unnest(range(0, greatest(ceil(len(w) / half)::BIGINT - 1, 1))) AS k FROM d, halves WHERE len(w) > 0)
+), m AS (
+    SELECT row, label, len(list_intersect(words, own)) AS held, len(words) AS size, least FROM blocks JOIN t USING (half)
+), best AS (
+    SELECT row, max(held::DOUBLE / size::DOUBLE) AS share FROM m WHERE held >= least GROUP BY 1
+), named AS (
+    SELECT row, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM (SELECT row, label, true AS base FROM b UNION SELECT row, label, false FROM m WHERE held >= least) GROUP BY 1
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM d LEFT JOIN base USING (row) LEFT JOIN best USING (row) LEFT JOIN named USING (row)
+"""
+
+
+def _licenses() -> str:
+    def words(found) -> str:
+        return "[" + ", ".join(f"'{w}'" for w in found) + "]"
+
+    phrases = ", ".join(f"('{label}', {words(licenses.words_of(phrase))})" for phrase, label in licenses.PHRASES.items())
+    templates = ", ".join(
+        f"('{t.label}', {words(t.words)}, {t.least}, {t.half})" for t in licenses.prepared(licenses.TEMPLATES, licenses.PERCENT)
+    )
+    return _LICENSES.replace("{phrases}", phrases).replace("{templates}", templates)
+
+
+_SEARCH = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), i AS (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), s AS (
+    SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0
+), tf AS (
+    SELECT row, doc_id, n, term, count(*)::BIGINT AS tf
+    FROM (SELECT row, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM i) GROUP BY ALL
+), df AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+    FROM tf, s GROUP BY term, n_docs
+), q AS (
+    SELECT item_id, term, count(*)::BIGINT AS times FROM i GROUP BY ALL
+), r AS (
+    SELECT item_id, doc_id, row, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+    FROM q JOIN df USING (term) JOIN tf USING (term), s GROUP BY ALL
+), k AS (
+    SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+    FROM r WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
 SQL: dict[str, str] = {
     "op3_warc_round_trip": _WARC,
     "op4_benchmark_decontamination": _LEAKS,
     "op8_exact_top_k": _TOP_K,
+    "op12_license_scan": _licenses(),
+    "op13_ranked_search": _SEARCH,
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorespan.llm import decontaminate, html_crf, jaccard_join, packing, quality, sharding, token_store, topk, toxicity, warc, whitening
+from lorespan.llm import (
+    bitsliced,
+    decontaminate,
+    html_crf,
+    jaccard_join,
+    licenses,
+    packing,
+    quality,
+    sharding,
+    token_store,
+    topk,
+    toxicity,
+    warc,
+    whitening,
+)
 from lorespan.llm.common import table
 
 
@@ -79,5 +93,15 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(vectors, whitening.fit(vectors))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``item_id, rank, doc_id, score``: the 20 best documents of every benchmark item."""
+    return bitsliced.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
