@@ -74,10 +74,14 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE
 
 
 def _hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of every word: its length and its lower-cased bytes, eight at a time."""
+    """A hash of every word, in lower case."""
+    return byte_hashes(_LOWER[data], starts, ends)
+
+
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of every range of bytes: its length and its bytes, eight at a time."""
     size = ends - starts
-    low = np.zeros(len(data) + 8, dtype=np.uint8)
-    np.take(_LOWER, data, out=low[: len(data)])
+    low = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
     eight = np.ndarray(len(data) + 1, dtype="<u8", buffer=low, strides=(1,))  # the eight bytes from every byte on
     out = mix((eight[starts] & _FIRST[np.minimum(size, 8)]) + mix(size.astype(np.uint64) * _STEP))
     for at in range(8, LONGEST, 8):

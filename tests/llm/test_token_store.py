@@ -31,7 +31,31 @@ PIECES = st.one_of(
 @settings(max_examples=300, deadline=None)
 @given(text=st.lists(PIECES, max_size=10).map("".join))
 def test_words_one_by_one_give_the_ids_of_the_whole_text(whole, encoder, text):
-    assert np.frombuffer(encoder.encode([text])[0], "<i4").tolist() == whole.encode(text, add_special_tokens=False).ids + [token_store.END_ID]
+    ids, sizes = encoder.ids_of([text])
+    assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids + [token_store.END_ID] and sizes.tolist() == [len(ids)]
+
+
+LATIN = st.text(alphabet="abcSTrvelmd'0129 .,;\n\té²½ßµÀ×÷ÿ\x85\xa0\x1c\"-", max_size=40)
+
+
+@settings(max_examples=400, deadline=None)
+@given(texts=st.lists(LATIN, max_size=5))
+def test_many_texts_at_once(whole, encoder, texts):
+    ids, sizes = encoder.ids_of(texts)
+    want = [whole.encode(t, add_special_tokens=False).ids + [token_store.END_ID] for t in texts]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_little_memory_and_small_steps_change_nothing(whole, monkeypatch):
+    monkeypatch.setattr(token_store, "CHARACTERS_AT_ONCE", 50)
+    small = token_store.Encoder(token_store.default_tokenizer(), remembered=20)
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"word{k}'s" for k in rng.integers(0, 300, n)) for n in (0, 1, 5, 60, 200)] + ["x" * 400, "naïve 'll don't " * 20, "漢字 words " * 20]
+    for _ in range(3):
+        ids, sizes = small.ids_of(texts)
+        want = [whole.encode(t, add_special_tokens=False).ids + [token_store.END_ID] for t in texts]
+        assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert len(small.hash) < 1000
 
 
 def brute(whole, rows):
