@@ -58,18 +58,92 @@ def test_unlabelled_rows_are_scored_right(spark):
     assert len(quality.score(df.select("doc_id", "text"), model).collect()) == len(every)
 
 
-def test_views_teach_each_other():
+def two_views(n=3000):
     draw = np.random.default_rng(6)
-    y = (draw.random(2000) < 0.5).astype(float)
-    text = (y[:, None] * 2 - 1) * 2.0 + draw.normal(size=(2000, 2))
-    metadata = (y[:, None] * 2 - 1) * 2.0 + draw.normal(size=(2000, 3))
-    labelled = np.arange(2000) < 120
-    apart = np.arange(2000) % 3 == 0
-    model = quality.co_train(text, metadata, y, apart, labelled)
-    rest = ~labelled
-    assert (((model.score(text, metadata) >= 0.5) == y)[rest]).mean() > 0.98
-    a, b = model.calibrated(text, metadata)
-    assert abs(sigmoid(a)[rest].mean() - 0.5) < 0.1 and abs(sigmoid(b)[rest].mean() - 0.5) < 0.1
+    y = (draw.random(n) < 0.5).astype(float)
+    text = (y[:, None] * 2 - 1) * 1.2 + draw.normal(size=(n, 2))
+    metadata = (y[:, None] * 2 - 1) * 1.2 + draw.normal(size=(n, 3))
+    return y, text, metadata, np.where(np.arange(n) < 150, y, np.nan), np.arange(n) % 3 == 0
+
+
+def plain_rounds(text, metadata, y, apart):
+    """Co-training on the driver with everything in memory: labels handed over are kept in arrays."""
+    views, other = {"text": text, "metadata": metadata}, quality.OTHER
+    taught = {v: np.full(len(y), np.nan) for v in views}
+    pool = np.isnan(y) & ~apart
+    fitted = {}
+    for round_ in range(quality.ROUNDS + 1):
+        for view, x in views.items():
+            used = ~apart & (~np.isnan(y) | ~np.isnan(taught[view]))
+            target = np.where(np.isnan(y), taught[view], y)[used]
+            weight = np.where(np.isnan(y), quality.TAUGHT_WEIGHT, 1.0)[used]
+            fitted[view] = fit_logistic(x[used], target, weight, ridge=quality.RIDGE)
+        if round_ == quality.ROUNDS:
+            break
+        handed = {}
+        for view, x in views.items():
+            free = pool & np.isnan(taught[other[view]])
+            odds = decision(x, fitted[view])
+            most, sure = quality.SHARE * free.sum(), np.log(quality.SURE / (1 - quality.SURE))
+            new = np.full(len(y), np.nan)
+            for sign, value in ((-1, 0.0), (1, 1.0)):
+                side = np.sort((sign * odds)[free & (odds >= 0 if sign > 0 else odds < 0)])
+                edges = np.arange(quality.N_BINS) * quality.BIN
+                from_edge = len(side) - np.searchsorted(np.floor(side / quality.BIN), np.arange(quality.N_BINS), "left")
+                fine = np.flatnonzero(from_edge <= most)
+                last = int(np.floor(side[-1] / quality.BIN))
+                least = max(edges[min(fine[0], last)], sure)
+                new[free & (sign * odds >= least)] = value
+            handed[other[view]] = new
+        for view, new in handed.items():
+            taught[view] = np.where(np.isnan(taught[view]), new, taught[view])
+    return fitted, taught
+
+
+def test_rounds_equal_plain_co_training(spark):
+    y, text, metadata, known, apart = two_views()
+    table = [(k, None if np.isnan(v) else int(v), bool(a), t.tolist(), m.tolist()) for k, (v, a, t, m) in enumerate(zip(known, apart, text, metadata))]
+    df = spark.createDataFrame(table, "k int, y int, apart boolean, text array<double>, metadata array<double>").repartition(5)
+
+    matrix = quality._matrix
+
+    def views(batch):
+        label = batch.column("y").to_numpy(zero_copy_only=False).astype(float)
+        return label, batch.column("apart").to_numpy(zero_copy_only=False), {"text": matrix(batch.column("text"), 2), "metadata": matrix(batch.column("metadata"), 3)}
+
+    fitted, rules = quality.CoTraining(df, views, {"text": 2, "metadata": 3}).run()
+    want, taught = plain_rounds(text, metadata, known, apart)
+    for view in quality.VIEWS:
+        assert np.abs(fitted[view] - want[view]).max() < 1e-4
+        mine = quality.taught_labels({"text": text, "metadata": metadata}[quality.OTHER[view]], rules[view])
+        pool = np.isnan(known) & ~apart
+        assert np.mean((mine == taught[view]) | (np.isnan(mine) & np.isnan(taught[view])), where=pool) > 0.999
+        assert np.isfinite(taught[view][pool]).mean() > 0.05 and (taught[view] == y)[np.isfinite(taught[view])].mean() > 0.95
+
+
+def test_what_is_handed_over_grows_with_the_table():
+    counts = np.array([0, 5, 3, 2, 1, 0])
+    assert quality.threshold(counts, 3) == 3 and quality.threshold(counts, 6) == 2 and quality.threshold(counts, 100) == 0
+    assert quality.threshold(counts * 1000, 3000) == 3
+    assert quality.threshold(counts, 0.5) == 4  # never less than the surest bin
+    assert quality.threshold(np.zeros(6), 3) == 0
+
+
+def test_all_unlabelled_rows_take_part(spark):
+    """A kind of text that has no labels is learned from the metadata, however small its ids' hashes are."""
+    draw = random.Random(9)
+    rows, labels = [], []
+    for k in range(3000):
+        good = k % 2 == 0
+        style = (lambda w: w) if good else (lambda w: w + "***")
+        words = [style("".join(draw.choices("abcdef", k=6))) for _ in range(20)]
+        rows.append((k, " ".join(words), "en", "clean" if good else "dirty", 100))
+        if k < 300:
+            labels.append((k, int(good)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    model = quality.fit(df, spark.createDataFrame(labels, "doc_id long, quality int"))
+    got = {r.doc_id: r.score for r in quality.score(df, model).collect()}
+    assert np.mean([(s >= 0.5) == (i % 2 == 0) for i, s in got.items()]) > 0.99
 
 
 def test_one_label_only_scores_one_half(spark):
