@@ -27,7 +27,7 @@ END_ID = 1
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2_000
 #: Bytes of text in one range of documents, at most on average.
 RANGE_BYTES = 64 << 20
-#: Pieces whose ids a worker remembers, pieces encoded in one call, and characters cut at a time.
+#: Pieces whose ids a task remembers, pieces encoded in one call, and characters cut at a time.
 REMEMBERED, PIECES_AT_ONCE, CHARACTERS_AT_ONCE = 1 << 19, 256, 1 << 21
 
 _BLANK = re.compile(r"[ \t\n\r]+")
@@ -234,16 +234,6 @@ def piece_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tupl
     return byte_hashes(data, starts, ends), heads
 
 
-#: Encoders of this worker process by tokenizer file: tasks that follow one another share what was learned.
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder_of(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -268,7 +258,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, range
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, part, start = encoder_of(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, start = Encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
             for first, last in blocks(string_parts(batch.column("text"))[1], CHARACTERS_AT_ONCE):
                 rows = batch.slice(first, last - first)
