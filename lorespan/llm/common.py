@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from lorespan.session import materialize, scratch_path
 
-#: Bits of the fixed-size membership filter of ``IdFilter``: 2 MB, whatever the size of the data.
-FILTER_BITS = 1 << 24
+#: Bits of the membership filter of ``IdFilter`` for each id, and its least and greatest size: 2 MB and 32 MB.
+BITS_PER_ID, LEAST_BITS, MOST_BITS = 8, 1 << 24, 1 << 28
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,13 +55,15 @@ def signed(hashes: np.ndarray) -> np.ndarray:
 
 
 class IdFilter:
-    """A membership filter over ids in a bit array of fixed size, for skipping rows before costly work.
+    """A membership filter over ids in a bit array of bounded size, for skipping rows before costly work.
 
     It may let other rows pass, so a join on the ids has to follow; it never stops a member. The bit
-    array is built by a Spark aggregate and sent to tasks; its size does not depend on the data.
+    array is built by a Spark aggregate and sent to tasks; its size follows the number of ids up to ``MOST_BITS``.
     """
 
-    def __init__(self, ids: DataFrame, column: str, bits: int = FILTER_BITS) -> None:
+    def __init__(self, ids: DataFrame, column: str, bits: int | None = None) -> None:
+        if bits is None:
+            bits = min(max(LEAST_BITS, 1 << (BITS_PER_ID * ids.count()).bit_length()), MOST_BITS)
         self.bits = bits
         slot = self.slot(F.col(column))
         rows = (
@@ -70,11 +72,11 @@ class IdFilter:
             .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bitmap"))
             .collect()  # at most bits / 32768 rows of 4 KB
         )
-        marks = np.zeros(bits + 32768, dtype=bool)
+        packed = np.zeros(bits // 8 + 4096, dtype=np.uint8)
         for row in rows:
-            start = (row["bucket"] - 1) * 32768
-            marks[start : start + 32768] = np.unpackbits(np.frombuffer(row["bitmap"], np.uint8), bitorder="little")
-        self._packed = ids.sparkSession.sparkContext.broadcast(np.packbits(marks))
+            start = (row["bucket"] - 1) * 4096
+            packed[start : start + 4096] = np.frombuffer(row["bitmap"], np.uint8)
+        self._packed = ids.sparkSession.sparkContext.broadcast(packed)
 
     def slot(self, column: Column) -> Column:
         return F.pmod(F.xxhash64(column), F.lit(self.bits)) + F.lit(1)
@@ -85,7 +87,7 @@ class IdFilter:
 
         def test(slots_: np.ndarray) -> np.ndarray:
             place = slots_ - 1
-            return (packed.value[place >> 3] >> (7 - (place & 7)) & 1).astype(bool)
+            return (packed.value[place >> 3] >> (place & 7) & 1).astype(bool)
 
         return test
 
