@@ -9,6 +9,8 @@ SALTS = 16
 HOT_ROWS = 1_000_000
 MOST_HOT_KEYS = 10_000
 SMALL_TABLE_ROWS = 10_000
+#: Bits of the filter of ``possible_rows``: at most half a million rows of a word of 64 bits are broadcast.
+FILTER_BITS = 1 << 25
 
 
 def salted_lookup(
@@ -57,6 +59,26 @@ def hot_key_lookup(
     return left.drop("_parts").join(right.drop("_parts"), [on, "_salt"], how).drop("_salt")
 
 
+def possible_rows(table: DataFrame, on: str, wanted: DataFrame) -> DataFrame:
+    """Rows of ``table`` whose ``on`` may be among that of ``wanted``; an equality join has to follow.
+
+    A Bloom filter of ``FILTER_BITS`` bits is built by an aggregate (words of 64 bits, or-ed) and broadcast as
+    rows, so its size is fixed at any number of ids. Rows are tested where they are read. Up to some ten million ids it keeps few
+    others; with very many more it keeps most rows, and costs a lookup each. Rows with a null ``on`` go.
+    """
+    kind = wanted.schema[on].dataType
+    slot = F.pmod(F.xxhash64(F.col(on).cast(kind)), F.lit(FILTER_BITS))
+    words = (
+        wanted.where(F.col(on).isNotNull())
+        .select(slot.alias("_slot"))
+        .groupBy(F.expr("_slot div 64").alias("_word"))
+        .agg(F.expr("bit_or(shiftleft(1L, int(_slot % 64)))").alias("_bits"))
+    )
+    marked = table.where(F.col(on).isNotNull()).withColumn("_slot", slot).withColumn("_word", F.expr("_slot div 64"))
+    found = marked.join(F.broadcast(words), "_word").where("bit_get(_bits, int(_slot % 64)) = 1")
+    return found.drop("_word", "_bits", "_slot")
+
+
 def rows_if_small(table: DataFrame, limit: int = SMALL_TABLE_ROWS) -> list | None:
     """The rows of a table that has at most ``limit`` of them, else None; never fetches more."""
     rows = table.limit(limit + 1).collect()

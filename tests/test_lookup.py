@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from lorespan.operators.lookup import hot_key_lookup, rows_if_small, salted_lookup
+from lorespan.operators.lookup import hot_key_lookup, possible_rows, rows_if_small, salted_lookup
 
 
 def skewed(spark):
@@ -51,3 +51,25 @@ def test_hot_key_is_split(spark):
 def test_rows_if_small(spark):
     assert len(rows_if_small(spark.range(5), 5)) == 5
     assert rows_if_small(spark.range(6), 5) is None
+
+
+def test_possible_rows_hold_all_wanted_and_few_others(spark):
+    table = spark.range(50_000).selectExpr("CAST(id AS STRING) AS k", "id").unionByName(spark.createDataFrame([(None, -1)], "k string, id long"))
+    wanted = spark.range(0, 50_000, 500).selectExpr("CAST(id AS STRING) AS k", "id AS n").unionByName(spark.createDataFrame([(None, 1)], "k string, n long"))
+    got = {r["id"] for r in possible_rows(table, "k", wanted).collect()}
+    assert set(range(0, 50_000, 500)) <= got and len(got) < 150 and -1 not in got
+    assert possible_rows(table, "k", wanted.limit(0)).count() == 0
+
+
+def test_texts_of_hits_take_one_scan(spark, tmp_path):
+    from lorespan.operators.retrieve import fetch_texts
+
+    path = str(tmp_path / "index")
+    spark.range(3000).selectExpr("CAST(id AS STRING) AS chunk_id", "concat('text ', id) AS response", "'s' AS source").write.parquet(path)
+    index = spark.read.parquet(path)
+    hits = spark.range(9000).selectExpr("id AS question_id", "CAST(IF(id % 3 = 0, 7, id % 4000) AS STRING) AS chunk_id")
+    found = fetch_texts(hits, index)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("response#") and sum("Relation" in line and "response" in line for line in plan.splitlines()) == 1
+    want = hits.join(index, "chunk_id").select("question_id", "chunk_id", "response", "source")
+    same(found.select(*want.columns), want)
