@@ -7,18 +7,20 @@ regular-expression engines; explicit classes mean the same set everywhere.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lorespan import fixed_values as fixed
 
+WHITESPACE = r"[ \t\n\x0B\f\r]"
 WHITESPACE_TOKEN = r"[^ \t\n\x0B\f\r]+"
 CHARACTER_TOKEN = r"(?s)."
 WORD = r"[\p{L}\p{N}]+"
 WORD_OR_GAP = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"
+#: One or more words with what lies between them.
+ENTRY = r"[\p{L}\p{N}_]+(?:[^\p{L}\p{N}_]+[\p{L}\p{N}_]+)*"
 SENTENCE = r"[^.!?。！？\n]+"
 
 
@@ -31,15 +33,17 @@ def has_token(text: Column, mode: str = "ws") -> Column:
     return text.rlike(_token_pattern(mode))
 
 
-def _token_pattern(mode: str) -> str:
-    patterns = {"ws": WHITESPACE_TOKEN, "char": CHARACTER_TOKEN}
-    if mode not in patterns:
+_MODES = {"ws": WHITESPACE_TOKEN, "char": CHARACTER_TOKEN}
+
+
+def check_mode(mode: str) -> None:
+    if mode not in _MODES:
         raise ValueError(f"unknown token mode {mode!r}")
-    return patterns[mode]
 
 
-def separator(mode: str) -> str:
-    return " " if mode == "ws" else ""
+def _token_pattern(mode: str) -> str:
+    check_mode(mode)
+    return _MODES[mode]
 
 
 def words(text: Column) -> Column:
@@ -50,39 +54,104 @@ def words(text: Column) -> Column:
 # -- abbreviations ------------------------------------------------------------------------------
 
 
+def word_runs(text: str) -> list[str]:
+    """Runs of word characters and of others, as the expressions cut them."""
+    import regex
+
+    return regex.findall(WORD_OR_GAP, text)
+
+
+class RunTrie:
+    """Entries of one or more words by their runs, in lower case."""
+
+    _END = None  # no run
+
+    def __init__(self, entries: Iterable[tuple[str, object]]) -> None:
+        self.root: dict = {}
+        for entry, value in entries:
+            node = self.root
+            for run in word_runs(entry.lower()):
+                node = node.setdefault(run, {})
+            node[self._END] = value
+
+    def matches(self, text: str, counts: Callable[[object], bool] | None = None) -> Iterator[tuple[int, int, object]]:
+        """(first run, number of runs, value) of the longest entry at every run of ``text`` that begins one."""
+        runs = [run.lower() for run in word_runs(text)] if self.root else []
+        for at, run in enumerate(runs):
+            node, end, best = self.root.get(run), at + 1, None
+            while node is not None:
+                if self._END in node and (counts is None or counts(node[self._END])):
+                    best = (at, end - at, node[self._END])
+                node = node.get(runs[end]) if end < len(runs) else None
+                end += 1
+            if best is not None:
+                yield best
+
+
+def leftmost(matches: Iterable[tuple[int, int, object]]) -> list[tuple[int, int, object]]:
+    """Sorted matches without those that overlap one before."""
+    out, free = [], 0
+    for match in matches:
+        if match[0] >= free:
+            out.append(match)
+            free = match[0] + match[1]
+    return out
+
+
+def splice(text: str, matches: Iterable[tuple[int, int, str]]) -> str:
+    """``text`` with the runs of each match replaced by its value; matches are sorted and don't overlap."""
+    runs, out, at = word_runs(text), [], 0
+    for first, count, value in matches:
+        out += [*runs[at:first], value]
+        at = first + count
+    return "".join([*out, *runs[at:]])
+
+
 def expansion_table(abbreviations: Mapping[str, str]) -> dict[str, str]:
     """Lower-cased abbreviation -> final replacement.
 
-    Entries apply in dictionary order, each to the output of the ones before, so a replacement may
-    itself contain a later abbreviation. Following those chains here, once, over the dictionary
-    alone, lets a single pass over the data give the same text.
+    An abbreviation is one or more words. Entries apply in dictionary order: a replacement, ``abbreviation (full text)``,
+    may itself contain a later abbreviation, which is replaced in turn. Following those chains here, once, over the
+    dictionary alone, lets a single pass over the data give the same text. Where entries overlap, the leftmost counts and
+    of those at one place the longest.
     """
+    import regex
+
     keys = list(abbreviations)
-    if any(not re.fullmatch(r"\w+", key) for key in keys):
-        raise ValueError("an abbreviation has to be one word")
+    if any(not regex.fullmatch(ENTRY, key) for key in keys):
+        raise ValueError("an abbreviation has to begin and end with a word")
     if len({key.lower() for key in keys}) != len(keys):
         raise ValueError("abbreviations have to differ in more than case")
     table: dict[str, str] = {}
-    for position in range(len(keys) - 1, -1, -1):
-        key = keys[position]
-        table[key.lower()] = reduce(
-            lambda text, later: re.sub(
-                rf"\b{later}\b", lambda _: f"{later} ({abbreviations[later]})", text, flags=re.IGNORECASE
-            ),
-            keys[position + 1 :],
-            f"{key} ({abbreviations[key]})",
-        )
+    for key in reversed(keys):
+        whole = f"{key} ({abbreviations[key]})"
+        table[key.lower()] = splice(whole, leftmost(RunTrie(table.items()).matches(whole)))
     return table
 
 
 def expand_abbreviations(text: Column, abbreviations: Mapping[str, str] | None = None) -> Column:
-    """Replace whole words, ignoring case: ``ml`` -> ``ML (Machine Learning)``.
+    """Replace abbreviations, ignoring case: ``ml`` -> ``ML (Machine Learning)``.
 
     The text is cut into word and non-word runs, so word boundaries follow letters and digits of any
     script. Apply exactly once: the replacement contains the abbreviation again.
     """
     table = expansion_table(fixed.ABBREVIATIONS if abbreviations is None else abbreviations)
-    return replace_words(text, map_literal(table)) if table else text
+    return replace_entries(text, table) if table else text
+
+
+def replace_entries(text: Column, table: Mapping[str, str]) -> Column:
+    """Entries of ``table`` (lower-cased, one or more words) replaced in one pass over the text.
+
+    Entries of several words are alternatives of the pattern that cuts the text, the longest first, so each comes out as
+    one piece and the leftmost and longest counts.
+    """
+    long = sorted((k for k in table if len(word_runs(k)) > 1), key=lambda k: (-len(word_runs(k)), k))
+    if not long:
+        return replace_words(text, map_literal(table))
+    pattern = "(?iu)(?:" + "|".join(re.escape(k) for k in long) + r")(?![\p{L}\p{N}_])|" + WORD_OR_GAP
+    pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    lookup = map_literal(table)
+    return F.array_join(F.transform(pieces, lambda piece: F.coalesce(F.try_element_at(lookup, F.lower(piece)), piece)), "")
 
 
 def map_literal(table: Mapping[str, str]) -> Column:

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lorespan.functions import text as txt
-from lorespan.operators import answer, retrieve
+from lorespan.operators import answer, dictionary, lookup, retrieve
 from lorespan.sources import index_store
 
 DOCS = [
@@ -134,8 +134,8 @@ def test_abbreviations_reach_the_search(spark, index):
 def test_dictionary_table_both_ways(spark):
     df = spark.createDataFrame([(1, "ml and hms, ML!"), (2, "nothing"), (3, ""), (4, None)], "id long, t string")
     entries = spark.createDataFrame([(1, "ML", "Machine Learning"), (2, "HMS", "Hive Metastore")], "position int, abbreviation string, full_text string")
-    small = answer.expand_with_table(df, "t", entries)
-    large = answer.expand_with_table(df, "t", entries, limit=1)
+    small = dictionary.expand_with_table(df, "t", entries)
+    large = dictionary.expand_with_table(df, "t", entries, limit=1)
     literal = df.withColumn("t", txt.expand_abbreviations(F.col("t"), {"ML": "Machine Learning", "HMS": "Hive Metastore"}))
     wanted = sorted(map(tuple, literal.select("id", "t").collect()))
     assert sorted(map(tuple, small.select("id", "t").collect())) == wanted
@@ -148,7 +148,7 @@ def test_chained_repeated_and_broken_entries(spark, limit):
     df = spark.createDataFrame(rows, "id long, t string")
     entries = [(1, "AA", "uses BB and AA"), (2, "BB", "then CC, not AA"), (3, "CC", "second"), (4, "aa", "never"), (4, "BB", "never"), (None, "ZZ", "x"), (5, "ZZ", None), (6, None, "x"), (7, "DD", "")]
     table = spark.createDataFrame(entries, "position int, abbreviation string, full_text string")
-    got = answer.expand_with_table(df, "t", table, limit=limit)
+    got = dictionary.expand_with_table(df, "t", table, limit=limit)
     assert got.columns == df.columns
     bb = "BB (then CC (second), not AA)"
     assert sorted((r["t"] or "") for r in got.collect()) == sorted([f"AA (uses {bb} and AA) zz", f"CC (second) {bb}", f"AA (uses {bb} and AA)", "DD ()", "", ""])
@@ -157,16 +157,66 @@ def test_chained_repeated_and_broken_entries(spark, limit):
 def test_chains_equal_the_literal_form(spark):
     words = {"AA": "BB CC dd", "BB": "CC AA", "CC": "DD and EE", "DD": "EE", "EE": "end"}
     entries = spark.createDataFrame([(k, a, t) for k, (a, t) in enumerate(words.items())], "position int, abbreviation string, full_text string")
-    got = {r["word"]: r["replacement"] for r in answer.replacement_table(entries).collect()}
+    got = {r["word"]: r["replacement"] for r in dictionary.replacement_table(entries).collect()}
     assert got == txt.expansion_table(words)
 
 
 @pytest.mark.parametrize("limit", [1, 100])
-def test_entries_of_several_words_are_refused(spark, limit):
+def test_entries_that_are_no_words_are_refused(spark, limit):
     df = spark.createDataFrame([(1, "a b")], "id long, t string")
-    table = spark.createDataFrame([(1, "A B", "x"), (2, "C", "y")], "position int, abbreviation string, full_text string")
-    with pytest.raises(Exception, match="one word"):
-        answer.expand_with_table(df, "t", table, limit=limit).collect()
+    table = spark.createDataFrame([(1, "A B", "x"), (2, "C++", "y")], "position int, abbreviation string, full_text string")
+    with pytest.raises(Exception, match="begin and end with a word"):
+        dictionary.expand_with_table(df, "t", table, limit=limit).collect()
+
+
+WAYS = [{"limit": 100}, {"limit": 1}, {"limit": 1, "block_bytes": 150}, {"limit": 1, "block_bytes": 150, "driver_limit": 1}]
+
+
+def longest_first(text, table):
+    """A plain left-to-right loop over runs: at every word the entry of most runs."""
+    runs, out, at = txt.word_runs(text), [], 0
+    while at < len(runs):
+        best = max((n for n in range(1, 12) if at + n <= len(runs) and "".join(runs[at : at + n]).lower() in table), default=0)
+        out.append(table["".join(runs[at : at + best]).lower()] if best else runs[at])
+        at += best or 1
+    return "".join(out)
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_entries_of_several_words(spark, way):
+    words = {"machine learning": "uses data", "Machine Learning model": "a fit model", "learning": "study", "data": "facts", "deep machine": "x", "a-b c": "hyphens", "ÄÖ ü": "umlauts", "model": "copy"}
+    entries = spark.createDataFrame([(k, a, t) for k, (a, t) in enumerate(words.items())], "position int, abbreviation string, full_text string")
+    table = txt.expansion_table(words)
+    assert table["machine learning"] == "machine learning (study) (uses data (facts))"
+    texts = [
+        "MACHINE learning models, machine learning model.", "deep machine learning model data", "machine  learning", "learning machine\nlearning",
+        "A-B C a-b-c a-b c", "äö Ü ÄÖ üx", "xmachine learning", "machine learning machine learning", "", None, "data " * 50,
+    ]
+    rows = [(k % 3 or None, t, "r", "f") for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id long, t string, _row string, found string").repartition(2)
+    got = dictionary.expand_with_table(df, "t", entries, **way)
+    assert got.columns == df.columns
+    wanted = sorted(str(longest_first(t, table)) if t is not None else "None" for t in texts)
+    assert sorted(str(r["t"]) for r in got.collect()) == wanted
+    native = df.withColumn("t", txt.expand_abbreviations(F.col("t"), words))
+    assert sorted(str(r["t"]) for r in native.collect()) == wanted
+
+
+def test_both_forms_of_following_chains_agree(spark):
+    words = {f"w{k} x": f"w{k + 1} x and w{k + 2} x w{(k * 7) % 30}" for k in range(25)} | {f"w{k}": f"v w{k - 1} x" for k in range(30)}
+    entries = spark.createDataFrame([(k, a, t) for k, (a, t) in enumerate(words.items())], "position int, abbreviation string, full_text string")
+    few = dict(list(words.items())[18:36])
+    some = spark.createDataFrame([(k, a, t) for k, (a, t) in enumerate(few.items())], "position int, abbreviation string, full_text string")
+    got = {r["word"]: r["replacement"] for r in dictionary.replacement_table(some, block_bytes=300).collect()}
+    assert got == txt.expansion_table(few)
+    assert entries.count() == len(words)
+
+
+def test_texts_are_not_shuffled_by_a_large_dictionary(spark):
+    df = spark.range(100).selectExpr("CAST(id AS STRING) AS t")
+    entries = spark.createDataFrame([(1, "1", "one"), (2, "2 3", "two")], "position int, abbreviation string, full_text string")
+    plan = dictionary.expand_with_table(df, "t", entries, limit=1)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
 
 
 @pytest.mark.parametrize("limit", [1, 1000])
@@ -199,9 +249,9 @@ def test_phrase_join_on_a_table(spark, folder):
 
 
 def test_texts_of_many_hits(spark, index, monkeypatch):
-    """Beyond the broadcast limit the texts take several passes over the index; the result is the same."""
+    """A filter that is too small for the ids lets more chunks through; the result is the same."""
     asked = questions(spark, ["cats", "tables", "streams"])
     few = sorted(map(tuple, retrieve.retrieve(asked, index, 2).collect()))
-    monkeypatch.setattr(retrieve, "BROADCAST_BYTES", 16)
+    monkeypatch.setattr(lookup, "FILTER_BITS", 64)
     assert sorted(map(tuple, retrieve.retrieve(asked, index, 2).collect())) == few
     assert len(few) == 6
