@@ -18,6 +18,8 @@ VOCABULARY = 50_000
 END_ID = 0
 _HISTOGRAM_DIGITS = 4
 SLICE_ROWS = 1 << 20
+#: Rows of a range of hashes that is numbered in one task, at most on average.
+RANGE_ROWS = 1 << 20
 
 
 def turn_pairs(conversations: DataFrame) -> DataFrame:
@@ -138,30 +140,44 @@ def complement(df: DataFrame, chosen: DataFrame, key: str) -> tuple[DataFrame, D
 # -- collation ------------------------------------------------------------------------------------
 
 
+def running_numbers(df: DataFrame, key: str, seed: int = fixed.TRAIN_SEED, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Add ``row_number``, from 1, over the whole table in the order of ``md5(seed:key)``; ``key`` must be unique.
+
+    No task sees more than a range of hashes, about ``range_rows`` rows: ranges are the first hash digits, one
+    aggregate counts their rows, the sums of the counts before each range are broadcast back (a row of two numbers for every
+    ``range_rows`` / 16 rows at most), and a range is numbered by itself. ``df`` is read twice.
+    """
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    total, digits = df.count(), 1
+    while total // 16**digits > range_rows and digits < 8:
+        digits += 1
+    part = F.substring(order, 1, digits).alias("_range")
+    counts = df.groupBy(part).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_range", F.coalesce(before, F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy("_order", key))
+    placed = df.withColumn("_order", order).withColumn("_range", F.substring("_order", 1, digits)).withColumn("_inside", inside)
+    numbered = placed.join(F.broadcast(starts), "_range").withColumn("row_number", F.col("_start") + F.col("_inside"))
+    return numbered.drop("_range", "_order", "_inside", "_start")
+
+
 def collate(
     df: DataFrame,
     key: str,
     batch_rows: int = 8,
-    shards: int = 1,
     pad_id: int = END_ID,
     seed: int = fixed.TRAIN_SEED,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
-    """Pad ``input_ids`` to the longest of their batch and add ``attention_mask`` and ``labels``.
+    """Pad ``input_ids`` to the longest of their batch and add ``batch``, ``attention_mask`` and ``labels``.
 
-    Labels repeat the ids, with the ignored label wherever the pad id stands. Batches are numbered
-    inside ``shards`` shards, chosen by the hash of the unique key: a single running number over the whole
-    table would need one task to see all of it. Take a shard for every 100,000 rows or so. A row keeps its shard as
-    long as their number stays. Shards keep the row order of the hash; only the last batch of a shard may be short.
+    Labels repeat the ids, with the ignored label wherever the pad id stands. Batches are runs of ``batch_rows`` rows of the
+    whole table in the order of the hash of the unique key, numbered from 0; only the last one may be short. See
+    ``running_numbers`` for how no task sees the whole table.
     """
-    if shards < 1:
-        raise ValueError("at least one shard is needed")
-    order_key = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    placed = df.withColumn("_order", order_key).withColumn(
-        "shard", F.pmod(F.conv(F.substring("_order", 1, 8), 16, 10).cast("long"), F.lit(shards))
-    )
-    row = F.row_number().over(Window.partitionBy("shard").orderBy("_order", key))
-    batched = placed.withColumn("batch", F.floor((row - 1) / batch_rows).cast("long"))
-    longest = F.max(F.size("input_ids")).over(Window.partitionBy("shard", "batch"))
+    numbered = running_numbers(df, key, seed, range_rows)
+    batched = numbered.withColumn("batch", F.floor((F.col("row_number") - 1) / batch_rows).cast("long")).drop("row_number")
+    longest = F.max(F.size("input_ids")).over(Window.partitionBy("batch"))
     sized = batched.withColumn("_pad", longest - F.size("input_ids")).withColumn("_length", F.size("input_ids"))
     padded = sized.withColumn("input_ids", F.concat("input_ids", F.array_repeat(F.lit(pad_id), F.col("_pad"))))
     return padded.withColumn(
@@ -169,7 +185,7 @@ def collate(
     ).withColumn(
         "labels",
         F.transform("input_ids", lambda token: F.when(token == pad_id, fixed.IGNORED_LABEL).otherwise(token)),
-    ).drop("_order", "_pad", "_length")
+    ).drop("_pad", "_length")
 
 
 def marker_id(marker: str = fixed.END_OF_TEXT, vocabulary: DataFrame | None = None) -> Column:
@@ -185,8 +201,16 @@ def build_dataset(
     test: int | float = fixed.TRAIN_TEST_ROWS,
     seed: int = fixed.TRAIN_SEED,
     load_tokenizer: Callable | None = None,
+    conversations: DataFrame | None = None,
 ) -> DataFrame:
-    """Write ``path/split=train|test`` once, for any number of trainers to read."""
+    """Write ``path/split=train|test`` once, for any number of trainers to read.
+
+    ``conversations`` are those the examples were paired from: a gap between their turn numbers, which loses pairs, is an error.
+    """
+    if conversations is not None:
+        gaps = [row["conv_id"] for row in turn_gaps(conversations).orderBy("conv_id").limit(5).collect()]
+        if gaps:
+            raise ValueError(f"turns are not numbered one by one in the conversations {gaps}")
     ready = tokenize(training_texts(exact_split(examples, "example_id", test, seed)), load_tokenizer=load_tokenizer)
     ready.write.mode("overwrite").partitionBy("split").parquet(path)
     return examples.sparkSession.read.parquet(path)

@@ -1,8 +1,10 @@
 import hashlib
+from hashlib import md5
 
 import pytest
 from pyspark.sql import functions as F
 
+from lorespan import fixed_values as fixed
 from lorespan.operators import tuning
 
 
@@ -106,15 +108,15 @@ def test_plugged_byte_pair_tokenizer(spark):
 def test_collation(spark):
     rows = [(f"e{i}", list(range(1, i + 2))) for i in range(21)] + [("z", [3, 0, 4])]
     df = spark.createDataFrame(rows, "example_id string, input_ids array<int>")
-    out = tuning.collate(df, "example_id", batch_rows=4, shards=3).collect()
+    out = tuning.collate(df, "example_id", batch_rows=4, range_rows=5).collect()
     assert {r["example_id"] for r in out} == {r[0] for r in rows}
-    assert {r["shard"] for r in out} <= {0, 1, 2}
-    source = dict(rows)
+    order = sorted(source := dict(rows), key=lambda i: (md5(f"{fixed.TRAIN_SEED}:{i}".encode()).hexdigest(), i))
+    assert {r["example_id"]: r["batch"] for r in out} == {i: at // 4 for at, i in enumerate(order)}
     batches = {}
     for r in out:
-        batches.setdefault((r["shard"], r["batch"]), []).append(r)
-    for members in batches.values():
-        assert len(members) <= 4
+        batches.setdefault(r["batch"], []).append(r)
+    for batch, members in batches.items():
+        assert len(members) == 4 or batch == max(batches)
         longest = max(len(source[r["example_id"]]) for r in members)
         for r in members:
             own = source[r["example_id"]]
@@ -138,12 +140,25 @@ def test_dataset(spark, tmp_path):
     assert {p.name for p in (tmp_path / "sft").iterdir() if p.is_dir()} == {"split=test", "split=train"}
 
 
-def test_shards_do_not_follow_the_row_count(spark):
-    rows = [(f"e{i}", [i]) for i in range(30)]
-    few = tuning.collate(spark.createDataFrame(rows[:10], "example_id string, input_ids array<int>"), "example_id", shards=4)
-    many = tuning.collate(spark.createDataFrame(rows, "example_id string, input_ids array<int>"), "example_id", shards=4)
-    shards = {r["example_id"]: r["shard"] for r in many.collect()}
-    assert {r["example_id"]: r["shard"] for r in few.collect()}.items() <= shards.items()
+def test_running_numbers_are_those_of_one_sorted_table(spark):
+    rows = [(f"e{i}",) for i in range(700)]
+    df = spark.createDataFrame(rows, "example_id string").repartition(5)
+    order = sorted((r[0] for r in rows), key=lambda i: md5(f"{fixed.TRAIN_SEED}:{i}".encode()).hexdigest())
+    for range_rows in (1 << 20, 100, 8):
+        got = {r["example_id"]: r["row_number"] for r in tuning.running_numbers(df, "example_id", range_rows=range_rows).collect()}
+        assert got == {i: at + 1 for at, i in enumerate(order)}
+    assert tuning.running_numbers(df.limit(0), "example_id").count() == 0
+
+
+def test_no_task_numbers_more_than_a_range(spark):
+    """Only counts of ranges meet in one task; rows are numbered by range."""
+    df = spark.createDataFrame([(f"e{i}", [1]) for i in range(300)], "example_id string, input_ids array<int>")
+    plan = tuning.collate(df, "example_id", range_rows=8)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    by_range = [w for w in windows if "row_number() windowspecdefinition(_range" in w]
+    by_batch = [w for w in windows if "windowspecdefinition(batch" in w]
+    sums = [w for w in windows if "windowspecdefinition(_range" in w and "sum(" in w]  # over the counts of ranges
+    assert len(windows) == 3 and len(by_range) == len(by_batch) == len(sums) == 1
 
 
 def test_gaps_between_turns_are_found(spark):
