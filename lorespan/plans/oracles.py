@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lorespan import fixed_values as fixed
+from lorespan.operators.evaluate import OUTSIDE, poisson_steps
 from lorespan.plans import queries as q
 
 TOKEN = r"[^ \t\n\x0B\f\r]+"
@@ -158,6 +159,40 @@ _lang_cases = (
 _expanded_table = f"""
         SELECT doc_id, array_to_string({_lang_cases}, '') AS response
         FROM documents, (SELECT list(DISTINCT upper(lang)) AS codes FROM documents)"""
+_phrases_expanded = rf"""
+        WITH RECURSIVE opened AS (
+          SELECT item_id, unnest([1, 2, 3, 4]) AS n, string_split(regexp_extract(text, '^[\p{{L}}\p{{N}}_]+(?: [\p{{L}}\p{{N}}_]+)*'), ' ') AS w FROM benchmark
+        ), entries AS (
+          SELECT array_to_string(w[1:n], ' ') AS abbreviation, item_id + n * 1000000 AS position, 'opening' || n AS full_text FROM opened WHERE w[1] <> ''
+        ), e AS (
+          SELECT word, best.abbreviation || ' (' || best.full_text || ')' AS replacement, 2 * len(string_split(word, ' ')) - 1 AS n
+          FROM (SELECT lower(abbreviation) AS word, min({{'position': position, 'abbreviation': abbreviation, 'full_text': full_text}}) AS best FROM entries GROUP BY 1)
+        ), d AS (
+          SELECT doc_id, unnest(r) AS run, generate_subscripts(r, 1) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{RUN}') AS r FROM documents)
+        ), ahead AS (
+          SELECT doc_id, i, run AS r1, lead(run, 1) OVER w || lead(run, 2) OVER w AS r2, lead(run, 3) OVER w || lead(run, 4) OVER w AS r3,
+                 lead(run, 5) OVER w || lead(run, 6) OVER w AS r4
+          FROM d WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+        ), starts AS (
+          SELECT doc_id, i, n, lower(word) AS word
+          FROM (SELECT doc_id, i, unnest([1, 3, 5, 7]) AS n, unnest([r1, r1 || r2, r1 || r2 || r3, r1 || r2 || r3 || r4]) AS word FROM ahead)
+          WHERE word IS NOT NULL
+        ), m AS (
+          SELECT doc_id, i, starts.n, replacement FROM starts JOIN e USING (word, n)
+          QUALIFY row_number() OVER (PARTITION BY doc_id, i ORDER BY starts.n DESC) = 1
+        ), linked AS (
+          SELECT a.*, b.i AS next FROM m a ASOF LEFT JOIN (SELECT doc_id AS other, i FROM m) b ON a.doc_id = b.other AND a.i + a.n <= b.i
+        ), chosen AS (
+          SELECT * FROM (SELECT * FROM linked QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY i) = 1)
+          UNION ALL SELECT linked.* FROM chosen JOIN linked ON linked.doc_id = chosen.doc_id AND linked.i = chosen.next
+        ), covered AS (
+          SELECT doc_id, i AS first, replacement, unnest(range(i, i + n)) AS i FROM chosen
+        ), pieces AS (
+          SELECT doc_id, i, CASE WHEN first IS NULL THEN run WHEN first = i THEN replacement ELSE '' END AS piece
+          FROM d LEFT JOIN covered USING (doc_id, i)
+        )
+        SELECT doc_id, coalesce(response, '') AS response
+        FROM (SELECT doc_id FROM documents) LEFT JOIN (SELECT doc_id, string_agg(piece, '' ORDER BY i) AS response FROM pieces GROUP BY 1) USING (doc_id)"""
 _opening_filter = r"""
         WITH phrases AS (SELECT DISTINCT lower(regexp_extract(text, '^[^ \n]+ [^ \n]+')) AS phrase FROM benchmark)
         SELECT conv_id, turn, text AS answer FROM conversations WHERE role = 'assistant'
@@ -169,6 +204,9 @@ _readings = f"""{_hits(True)},
 _mixed = f"""
     mixed AS (SELECT {TURN_ID} AS request_id, text, (conv_id * 3 + turn) % 8 AS kind FROM conversations)"""
 
+_index_rows = f"""
+        WITH {INDEX} SELECT chunk_id, doc_id, chunk_no, source, CAST(length(response) AS INTEGER) AS n_chars,
+          round(n2, 6) AS norm FROM ix"""
 _knn_vectors = f"""
     WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
     n AS (SELECT *, list_inner_product(v, v) AS n2 FROM e),
@@ -199,11 +237,17 @@ SQL: dict[str, str] = {
         SELECT doc_id, CAST(CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 64 AS INTEGER) AS bucket,
                CAST(count(*) AS INTEGER) AS n
         FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{WORD}')) AS w FROM documents) GROUP BY 1, 2""",
-    "build_index": f"""
-        WITH {INDEX} SELECT chunk_id, doc_id, chunk_no, source, CAST(length(response) AS INTEGER) AS n_chars,
-          round(n2, 6) AS norm FROM ix""",
+    "build_index": _index_rows,
+    "refreshed_index": _index_rows,
+    "chunk_with_tokenizer": f"WITH {DEMO} SELECT doc_id, source, num_chunks, chunk_no, response FROM chunks",
+    "embed_with_model": """
+        SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars, CAST(length(text) - length(replace(text, chr(10), '')) AS INTEGER) AS n_lines
+        FROM documents""",
+    "bucketed_index": f"WITH {DEMO} SELECT doc_id, response, source FROM chunks WHERE chunk_no = 0",
     "knn_vectors": _knn_vectors,
     "knn_vectors_by_blocks": _knn_vectors,
+    "knn_vectors_bounded": _knn_vectors,
+    "knn_vectors_pivots": _knn_vectors,
     "vector_distances": """
         WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
         anchors AS (SELECT label, arg_min(v, vec_id) AS a FROM e GROUP BY label)
@@ -219,6 +263,8 @@ SQL: dict[str, str] = {
     "expand_abbreviations": f"SELECT doc_id, {_expand('text', q.DICTIONARY)} AS response FROM documents",
     "expand_abbreviations_table": _expanded_table,
     "expand_abbreviations_join": _expanded_table,
+    "expand_phrases": _phrases_expanded,
+    "expand_phrases_blocks": _phrases_expanded,
     "filter_bad_answers": f"""
         SELECT conv_id, turn, text AS answer FROM conversations WHERE role = 'assistant' AND {_good('text')}""",
     "filter_bad_answers_table": _opening_filter,
@@ -236,6 +282,7 @@ SQL: dict[str, str] = {
         WITH {_readings} SELECT DISTINCT asked, rank, 'ValueError: no room' AS error FROM tried
         WHERE failed AND (best IS NULL OR rank < best)""",
     "generate_batches": _generated,
+    "generate_resumed": _generated,
     "route_failures": f"""
         WITH made AS ({_generated})
         SELECT 'ok' AS route, count(*) AS n FROM made WHERE error IS NULL
@@ -261,12 +308,10 @@ SQL: dict[str, str] = {
         FROM ids JOIN split USING (example_id)""",
     "collate_batches": f"""
         WITH {IDS},
-        placed AS (SELECT example_id, input_ids, md5('{fixed.TRAIN_SEED}:' || example_id) AS h,
-                     CAST('0x' || substr(md5('{fixed.TRAIN_SEED}:' || example_id), 1, 8) AS BIGINT) % {q.COLLATE_SHARDS} AS shard FROM ids),
-        batched AS (SELECT *, (row_number() OVER (PARTITION BY shard ORDER BY h, example_id) - 1) // 8 AS batch FROM placed),
-        padded AS (SELECT example_id, shard, batch, len(input_ids) AS n, input_ids,
-                     max(len(input_ids)) OVER (PARTITION BY shard, batch) - len(input_ids) AS pad FROM batched)
-        SELECT example_id, shard, batch,
+        batched AS (SELECT *, (row_number() OVER (ORDER BY md5('{fixed.TRAIN_SEED}:' || example_id), example_id) - 1) // 8 AS batch FROM ids),
+        padded AS (SELECT example_id, batch, len(input_ids) AS n, input_ids,
+                     max(len(input_ids)) OVER (PARTITION BY batch) - len(input_ids) AS pad FROM batched)
+        SELECT example_id, batch,
                array_to_string(list_concat(input_ids, list_transform(range(pad), lambda i: 0)), ',') AS input_ids,
                array_to_string(list_concat(list_transform(range(n), lambda i: 1), list_transform(range(pad), lambda i: 0)), ',') AS attention_mask,
                array_to_string(list_concat(input_ids, list_transform(range(pad), lambda i: {fixed.IGNORED_LABEL})), ',') AS labels
@@ -286,6 +331,33 @@ SQL: dict[str, str] = {
         WITH {EVAL} SELECT run_id, count(*) AS n_questions,
           round(sum(CASE WHEN answer = response THEN 1 ELSE 0 END)::DOUBLE / count(*), 6) AS exact_match
         FROM evals JOIN pairs ON question_id = example_id GROUP BY run_id""",
+    "eval_compare": f"""
+        WITH {EVAL},
+        results AS (SELECT run_id, question_id, answer FROM evals
+                    UNION ALL SELECT 'short', example_id, array_to_string(regexp_extract_all(response, '{TOKEN}')[1:5], ' ') FROM pairs),
+        listed AS (SELECT run_id, question_id, answer, response, regexp_extract_all(lower(coalesce(answer, '')), '{WORD}') AS said,
+                          regexp_extract_all(lower(response), '{WORD}') AS wanted
+                   FROM results JOIN pairs ON question_id = example_id),
+        shared AS (SELECT *, len(said) + len(wanted) AS n,
+                          coalesce(list_sum(list_transform(list_distinct(said), lambda w:
+                            least(len(list_filter(said, lambda x: x = w)), len(list_filter(wanted, lambda x: x = w))))), 0) AS shared FROM listed),
+        scores AS (SELECT run_id, question_id, unnest([
+                     {{'metric': 'answered', 'value': CASE WHEN answer IS NULL THEN 0 ELSE 1000000 END}},
+                     {{'metric': 'exact', 'value': CASE WHEN answer = response THEN 1000000 ELSE 0 END}},
+                     {{'metric': 'f1', 'value': CASE WHEN answer IS NULL OR n = 0 THEN 0 ELSE (2000000 * shared) // n END}}]) AS m FROM shared),
+        gaps AS (SELECT a.run_id AS run_a, b.run_id AS run_b, a.m.metric AS metric, a.question_id, b.m.value - a.m.value AS gap
+                 FROM scores a JOIN scores b ON a.question_id = b.question_id AND a.m.metric = b.m.metric AND a.run_id < b.run_id),
+        numbers AS (SELECT question_id, draw, CAST('0x' || substr(md5(question_id || ':' || draw), 1, 8) AS BIGINT) AS u
+                    FROM (SELECT DISTINCT question_id FROM scores), range(0, {q.EVAL_DRAWS} + 1) AS d(draw)),
+        weights AS (SELECT question_id, draw, CASE WHEN draw = 0 THEN 1 ELSE {' + '.join(f'(u >= {step})::INT' for step in poisson_steps())} END AS w FROM numbers),
+        means AS (SELECT run_a, run_b, metric, draw, sum(w) AS n, (sum(w * gap)::DOUBLE / sum(w)::DOUBLE) / 1e6::DOUBLE AS mean
+                  FROM gaps JOIN weights USING (question_id) WHERE w > 0 GROUP BY ALL),
+        sorted AS (SELECT run_a, run_b, metric, max(n) FILTER (draw = 0) AS n_questions, max(mean) FILTER (draw = 0) AS difference,
+                          list(mean ORDER BY mean) FILTER (draw > 0) AS m FROM means GROUP BY ALL)
+        SELECT run_a, run_b, metric, CAST(n_questions AS BIGINT) AS n_questions, round(difference, 9) AS difference,
+               round(m[CAST(floor(len(m) * {OUTSIDE / 2}) AS INTEGER) + 1], 9) AS low,
+               round(m[len(m) - CAST(floor(len(m) * {OUTSIDE / 2}) AS INTEGER)], 9) AS high
+        FROM sorted""",
     "latest_named_version": """
         SELECT source AS name, max(doc_id) AS version, 'index/' || source || '/' || max(doc_id) AS path
         FROM documents WHERE source = 'src3' GROUP BY source""",
@@ -332,6 +404,11 @@ SQL: dict[str, str] = {
     "first_predictions": f"""
         SELECT {REQUEST_ID} AS request_id, arg_min(text, turn) AS answer, 'conversation ' || conv_id AS source
         FROM conversations WHERE role = 'assistant' GROUP BY conv_id, {REQUEST_ID}""",
+    "response_status": """
+        SELECT conv_id, turn, CAST(CASE WHEN turn % 5 = 1 THEN 500 WHEN turn % 5 = 3 THEN NULL ELSE 200 END AS INTEGER) AS status,
+               CASE WHEN turn % 5 = 1 THEN 'Request failed with status 500, ' || coalesce(text, '')
+                    WHEN turn % 5 = 3 THEN 'Request failed with status None, ' || coalesce(text, '') END AS error
+        FROM conversations WHERE role = 'assistant'""",
     "mention_events": f"""
         SELECT {TURN_ID} AS question_id, CAST(conv_id AS VARCHAR) AS channel, role AS "user", text AS question
         FROM conversations WHERE role = 'user'""",

@@ -5,7 +5,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +15,10 @@ from pyspark.sql import functions as F
 from lorespan import fixed_values as fixed
 from lorespan.functions import payload, vectors
 from lorespan.functions import text as txt
-from lorespan.operators import answer, chunk, embed, evaluate, generate, knn, retrieve, tuning
+from lorespan.operators import answer, chunk, dictionary, embed, evaluate, generate, hashed, knn, retrieve, tuning
 from lorespan.operators.lookup import salted_lookup
 from lorespan.session import materialize, scratch_path, spread
-from lorespan.sources import index_store, requests, tables, versions
+from lorespan.sources import index_refresh, index_store, pivot_index, requests, tables, versions
 from lorespan.streaming import chat
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,7 +30,8 @@ ORGANISATION = "the organisation"
 TEST_FRACTION = 0.2
 QUESTIONS_PER_REQUEST = 8
 LONGEST_PROMPT = 350
-COLLATE_SHARDS = 4
+COLLATE_RANGE = 64
+EVAL_DRAWS = 60
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -102,7 +105,7 @@ def stored_sources(spark, folder):
     before = spark.catalog.currentDatabase()
     try:
         schema = tables.use_namespace(spark, "lorespan_queries")
-        name = f"{schema}.sources_{abs(hash(folder)) % 10**9}"
+        name = f"{schema}.sources_{md5(folder.encode()).hexdigest()[:12]}"  # the same in every process
         tables.save_table(_sources(spark, folder), name)
         return spark.table(name)
     finally:
@@ -160,13 +163,72 @@ def hash_embed_documents(spark, folder):
 
 @query
 def build_index(spark, folder):
-    index = index_store.build_index(_sources(spark, folder), fixed.DEMO_CHUNK_SIZE, fixed.DEMO_CHUNK_OVERLAP)
+    return _index_rows(index_store.build_index(_sources(spark, folder), fixed.DEMO_CHUNK_SIZE, fixed.DEMO_CHUNK_OVERLAP))
+
+
+def _index_rows(index):
     norm = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
     return index.select(
         "chunk_id", "doc_id", "chunk_no", "source", F.length("response").alias("n_chars"), F.round(norm, 6).alias("norm")
     )
 
 
+def _blank_tokenizer():
+    """A stand-in tokenizer: words between ASCII white space."""
+
+    def encode(text):
+        return [word for word in re.split("[ \\t\\n\\x0b\\f\\r]+", text) if word]
+
+    return encode, " ".join
+
+
+@query
+def chunk_with_tokenizer(spark, folder):
+    """Chunks cut by a plugged tokenizer."""
+    documents = spread(_sources(spark, folder), "doc_id")
+    return chunk.chunk_text(documents, "response", fixed.DEMO_CHUNK_SIZE, fixed.DEMO_CHUNK_OVERLAP, load_tokenizer=_blank_tokenizer)
+
+
+def _measures():
+    """A stand-in embedder: characters and line ends of a text."""
+    return lambda texts: [[float(len(t)), float(t.count("\n"))] for t in texts]
+
+
+@query
+def embed_with_model(spark, folder):
+    """Vectors of a plugged embedder."""
+    made = embed.embed(spread(_sources(spark, folder), "doc_id"), "response", load_model=_measures)
+    return made.select("doc_id", F.col("embedding")[0].cast("int").alias("n_chars"), F.col("embedding")[1].cast("int").alias("n_lines"))
+
+
+@query
+def bucketed_index(spark, folder):
+    """The index saved as a bucketed table, and the opening chunks fetched from it by their ids."""
+    before = spark.catalog.currentDatabase()
+    try:
+        name = f"{tables.use_namespace(spark, 'lorespan_queries')}.chunks_{md5(folder.encode()).hexdigest()[:12]}"
+        index_store.save_index_table(index_store.build_index(_sources(spark, folder), fixed.DEMO_CHUNK_SIZE, fixed.DEMO_CHUNK_OVERLAP), name, 8)
+        stored = spark.table(name)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    opening = _sources(spark, folder).select(F.col("doc_id").alias("question_id"), F.concat_ws(":", "doc_id", F.lit(0)).alias("chunk_id"))
+    return retrieve.fetch_texts(materialize(opening, "hits"), stored).select(F.col("question_id").alias("doc_id"), "response", "source")
+
+
+@query
+def refreshed_index(spark, folder):
+    """An index of an earlier state of the documents, brought up to date: some were different, some missing, some are gone."""
+    path = scratch_path(spark, "refreshed-index")
+    sources = _sources(spark, folder)
+    sizes = {"size": fixed.DEMO_CHUNK_SIZE, "overlap": fixed.DEMO_CHUNK_OVERLAP}
+    other = F.when(F.col("source") == "src1", F.upper("response")).otherwise(F.col("response"))
+    gone = sources.where("source = 'src2'").withColumn("doc_id", -1 - F.col("doc_id"))
+    earlier = sources.where("source <> 'src3'").withColumn("response", other).unionByName(gone)
+    index_refresh.refresh_index(earlier, path, **sizes)
+    index_refresh.refresh_index(sources, path, **sizes)
+    return _index_rows(index_refresh.read_index(spark, path))
+
+
 # -- retrieval --------------------------------------------------------------------------------------
 
 
@@ -186,6 +248,31 @@ def knn_vectors_by_blocks(spark, folder):
     return knn.knn_join(asked, all_vectors, fixed.HITS_PER_QUESTION, "query_id", "vec_id", broadcast_bytes=64 << 10)
 
 
+@query
+def knn_vectors_bounded(spark, folder):
+    """The way for vectors that very many tasks read: bounds from samples of the vectors go to the tasks first."""
+    all_vectors = tables.test_table(spark, folder, "embeddings")
+    asked = all_vectors.withColumnRenamed("vec_id", "query_id")
+    return knn.knn_join(asked, all_vectors, fixed.HITS_PER_QUESTION, "query_id", "vec_id", exchange=True)
+
+
+@query
+def knn_vectors_pivots(spark, folder):
+    """The search in vectors stored by their nearest pivot."""
+    all_vectors = tables.test_table(spark, folder, "embeddings")
+    path = scratch_path(spark, "pivot-index")
+    pivot_index.build(all_vectors, path, "vec_id")
+    return pivot_index.search(all_vectors.withColumnRenamed("vec_id", "query_id"), path, fixed.HITS_PER_QUESTION, "query_id", "vec_id")
+
+
+@query
+def knn_vectors_hashed(spark, folder):
+    """The approximate search; its measured recall is a column."""
+    all_vectors = tables.test_table(spark, folder, "embeddings")
+    asked = all_vectors.withColumnRenamed("vec_id", "query_id")
+    return hashed.hashed_knn(asked, all_vectors, fixed.HITS_PER_QUESTION, "query_id", "vec_id")
+
+
 @query
 def vector_distances(spark, folder):
     all_vectors = tables.test_table(spark, folder, "embeddings")
@@ -240,16 +327,39 @@ def _language_entries(spark, folder):
 
 @query
 def expand_abbreviations_table(spark, folder):
-    """The dictionary is a table; so few entries become a literal."""
+    """The dictionary is a table; so few entries become an expression."""
     texts = spread(_sources(spark, folder), "doc_id").select("doc_id", "response")
-    return answer.expand_with_table(texts, "response", _language_entries(spark, folder))
+    return dictionary.expand_with_table(texts, "response", _language_entries(spark, folder))
 
 
 @query
 def expand_abbreviations_join(spark, folder):
     """The same by the way of larger dictionaries."""
     texts = spread(_sources(spark, folder), "doc_id").select("doc_id", "response")
-    return answer.expand_with_table(texts, "response", _language_entries(spark, folder), limit=1)
+    return dictionary.expand_with_table(texts, "response", _language_entries(spark, folder), limit=1, driver_limit=1)
+
+
+def _benchmark_entries(spark, folder):
+    """The openings of the benchmark items as entries of one to four words, the shorter ones first."""
+    opened = tables.test_table(spark, folder, "benchmark").select("item_id", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("n"), "text")
+    entry = F.regexp_extract("text", r"^[\p{L}\p{N}_]+(?: [\p{L}\p{N}_]+)*", 0)
+    cut = F.array_join(F.slice(F.split(entry, " "), F.lit(1), F.col("n")), " ")
+    entries = opened.select((F.col("item_id") + F.col("n") * 1_000_000).alias("position"), "n", cut.alias("abbreviation")).where("abbreviation <> ''")
+    return entries.select("position", "abbreviation", F.concat(F.lit("opening"), F.col("n").cast("string")).alias("full_text"))
+
+
+@query
+def expand_phrases(spark, folder):
+    """Entries of one to four words as an expression; a text is replaced leftmost and longest."""
+    texts = spread(_sources(spark, folder), "doc_id").select("doc_id", "response")
+    return dictionary.expand_with_table(texts, "response", _benchmark_entries(spark, folder), limit=10_000)
+
+
+@query
+def expand_phrases_blocks(spark, folder):
+    """The same by the way of larger dictionaries, in several blocks, chains followed by Spark."""
+    texts = spread(_sources(spark, folder), "doc_id").select("doc_id", "response")
+    return dictionary.expand_with_table(texts, "response", _benchmark_entries(spark, folder), limit=1, block_bytes=4096, driver_limit=1)
 
 
 def _said(spark, folder):
@@ -353,6 +463,17 @@ def generate_batches(spark, folder):
     return made.select("question_id", "text", "error")
 
 
+@query
+def generate_resumed(spark, folder):
+    """The same answers in a run that finds those of an earlier one, over the opening turns, and makes only the other calls."""
+    store = scratch_path(spark, "calls")
+    asked = _questions(spark, folder)
+    opening = asked.where(F.col("question_id").endswith("-0") | F.col("question_id").endswith("-1"))
+    for rows in (opening, asked):
+        made = generate.generate_resumable(rows, _first_words(5), "question_id", store, "question", model="first words", slice_rows=400, deadline=5)
+    return made.select("question_id", "text", "error")
+
+
 @query
 def route_failures(spark, folder):
     made = generate.generate(_questions(spark, folder), _first_words(5), "question_id", "question", deadline=5)
@@ -445,16 +566,18 @@ def split_complement(spark, folder):
 
 @query
 def sft_dataset(spark, folder):
-    built = tuning.build_dataset(_pairs(spark, folder), scratch_path(spark, "sft"), TEST_FRACTION)
+    built = tuning.build_dataset(
+        _pairs(spark, folder), scratch_path(spark, "sft"), TEST_FRACTION, conversations=_conversations(spark, folder)
+    )
     return built.select("example_id", "split", "truncated", F.size("input_ids").alias("n_tokens"))
 
 
 @query
 def collate_batches(spark, folder):
-    tokens = tuning.tokenize(tuning.training_texts(_pairs(spark, folder))).select("example_id", "input_ids")
-    return tuning.collate(tokens, "example_id", shards=COLLATE_SHARDS).select(
+    """Ranges of few rows, so that small tables have several too."""
+    tokens = materialize(tuning.tokenize(tuning.training_texts(_pairs(spark, folder))).select("example_id", "input_ids"), "tokens")
+    return tuning.collate(tokens, "example_id", range_rows=COLLATE_RANGE).select(
         "example_id",
-        "shard",
         "batch",
         _joined("input_ids").alias("input_ids"),
         _joined("attention_mask").alias("attention_mask"),
@@ -507,6 +630,22 @@ def eval_exact_match(spark, folder):
     return evaluate.summarize(results, "wanted").select("run_id", "n_questions", "exact_match")
 
 
+@query
+def eval_compare(spark, folder):
+    """Intervals of the differences between three runs: the strict one, the open one, and one of the first words only."""
+    pairs = tuning.turn_pairs(_conversations(spark, folder))
+    short = pairs.select(
+        F.col("example_id").alias("question_id"),
+        F.col("instruction").alias("question"),
+        F.array_join(F.slice(txt.tokens(F.col("response")), 1, 5), " ").alias("answer"),
+        F.lit(None).cast("string").alias("source"),
+        F.lit(None).cast("string").alias("output_metadata"),
+    )
+    results = _eval_results(spark, folder).unionByName(evaluate.run_outputs(short, "short"))
+    wanted = pairs.select(F.col("example_id").alias("question_id"), F.col("response").alias("wanted"))
+    return evaluate.compare(results.join(wanted, "question_id"), "wanted", EVAL_DRAWS)
+
+
 def _version_log(spark, folder):
     """Every document counts as a version of its source; a good-quality label makes it Production."""
     documents = tables.test_table(spark, folder, "documents").select("doc_id", "source")
@@ -636,7 +775,16 @@ def first_predictions(spark, folder):
     return requests.first_predictions(_responses(spark, folder))
 
 
-def _events(turns: DataFrame) -> DataFrame:
+@query
+def response_status(spark, folder):
+    """Replies of a service with status codes, as an event table has them: what was served, and the rest with an error."""
+    status = F.when(F.col("turn") % 5 == 1, 500).when(F.col("turn") % 5 == 3, F.lit(None)).otherwise(200)
+    replies = _said(spark, folder).select("conv_id", "turn", status.cast("int").alias("status"), F.col("answer").alias("body"))
+    ok, failed = requests.route_status(replies)
+    return ok.withColumn("error", F.lit(None).cast("string")).unionByName(failed).select("conv_id", "turn", "status", "error")
+
+
+def _events(turns: DataFrame, *more: str) -> DataFrame:
     """Chat event bodies: user turns mention the bot, all other turns are plain messages."""
     event = F.struct(
         F.when(F.col("role") == "user", fixed.MENTION_EVENT).otherwise("message").alias("type"),
@@ -644,7 +792,7 @@ def _events(turns: DataFrame) -> DataFrame:
         F.col("role").alias("user"),
         F.col("text"),
     )
-    return turns.select(_turn_id().alias("event_id"), F.to_json(F.struct(event.alias("event"))).alias("body"))
+    return turns.select(_turn_id().alias("event_id"), F.to_json(F.struct(event.alias("event"))).alias("body"), *more)
 
 
 @query
@@ -661,8 +809,9 @@ def stream_answers(spark, folder):
     times = F.when(F.col("turn") % 4 == 0, 2).otherwise(1)
     turns = turns.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy")
     reply_path = scratch_path(spark, "replies")
+    events = _events(turns.withColumn("sent", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("turn") % 1000)), "sent")
     chat.start_replies(
-        chat.mentions(_events(turns)),
+        chat.mentions(events, time="sent"),
         lambda asked: answer.answer_questions(asked, index, phrases=PHRASES),
         reply_path,
         scratch_path(spark, "stream-state"),
