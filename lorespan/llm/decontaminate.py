@@ -270,44 +270,68 @@ def _compared(docs: DataFrame, found: DataFrame) -> DataFrame:
 def proximity_matches(docs: DataFrame, phrases: DataFrame, slop: int = 3) -> DataFrame:
     """``phrase_id, doc_id, start`` where all words of a phrase lie within its length plus ``slop`` words, in order.
 
-    ``phrases``: ``phrase_id, text``. Lists of the phrase's terms are taken from the rarest on; each further
-    term must follow or precede within the span. Null and empty phrases match nothing.
+    ``phrases``: ``phrase_id, text``. Lists are intersected from a phrase's rarest terms on, with a span of ``slop`` instead of an
+    offset; postings of its other terms are not read. Documents left over are looked at again with the whole phrase. Null
+    and empty phrases match nothing, nor do documents with a null id. Rows that repeat a doc_id are matched one by one.
     """
     items = phrases.select(F.col("phrase_id").alias("item_id"), "text")
     listed = materialize(item_windows(items, 1 << 20), "phrases")
-    terms = listed.select(F.explode("terms").alias("term")).distinct()
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    index = positional_index(docs, terms)
-    found = None
-    for_each = listed.select("item_id", F.size("terms").alias("width"), F.posexplode("terms").alias("at", "term"))
-    joined = for_each.join(index, "term")
-    # Positions of all terms of a phrase in a document: as many entries as the phrase has words.
-    found = (
-        joined.groupBy("item_id", "width", "doc_id")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "positions"))).alias("lists"))
-        .where(F.size("lists") == F.col("width"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
+    _, counts = term_statistics(docs, listed.select(F.explode("terms").alias("term")).distinct())
+    places = listed.select("window", F.size("terms").alias("width"), F.posexplode("terms").alias("at", "term")).distinct().join(counts, "term")
+    anchors = materialize(
+        places.groupBy("window", "width")
+        .agg(F.array_sort(F.collect_list(F.struct("df", "at", "term"))).alias("all"))  # as many entries as the phrase has words
+        .where(F.size("all") == F.col("width"))
+        .select("window", F.slice("all", 1, ANCHORS).alias("anchors")),
+        "anchors",
     )
+    index = positional_index(docs, anchors.select(F.explode("anchors.term").alias("term")).distinct())
+    found = anchors
+    for k in range(ANCHORS):
+        one = F.col("anchors")[F.least(F.lit(k), F.size("anchors") - 1)]
+        found = found.withColumn("term", one["term"]).withColumn("shift", one["at"])
+        starts = F.transform("positions", lambda p: p - F.col("shift"))
+        if k == 0:
+            found = found.join(index, "term").withColumn("starts", starts)
+        else:
+            near = F.filter("starts", lambda s: F.exists("own", lambda t: F.abs(t - s) <= slop))
+            found = found.join(index, ["term", "doc_id"]).withColumn("own", starts).withColumn("starts", near).drop("own")
+        found = found.where(F.size("starts") > 0).drop("positions", "shift", "term")
+    wanted = found.select("window", "doc_id").distinct().join(listed.select("window", "item_id", "terms"), "window")
+    return _phrases_near(docs, materialize(wanted.select("doc_id", "item_id", "terms"), "near"), slop, phrases.schema["phrase_id"].dataType.simpleString())
+
+
+def _phrases_near(docs: DataFrame, wanted: DataFrame, slop: int, kind: str) -> DataFrame:
+    """Places of the phrases ``wanted`` (``doc_id, item_id, terms``) in the documents concerned."""
+    concerned = IdFilter(wanted, "doc_id")
+    test = concerned.tester()
+    schema = f"phrase_id {kind}, doc_id long, start int"
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(test(batch.column("slot").to_numpy()))).select(["doc_id", "text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, starts = [], []
-            for row in range(batch.num_rows):
-                lists = [np.array(x["positions"]) for x in batch.column("lists")[row].as_py()]
-                first = lists[0]
-                last = first.copy()
-                alive = np.ones(len(first), bool)
-                for more in lists[1:]:
-                    place = np.searchsorted(more, last, "right")
-                    alive &= place < len(more)
-                    last = more[np.minimum(place, len(more) - 1)]
-                good = alive & (last - first < len(lists) + slop)
-                rows += [row] * int(good.sum())
-                starts += first[good].tolist()
+            for start, words, bounds in texts_of(batch.column("text")):
+                for k in range(len(bounds) - 1):
+                    own = signed(words[bounds[k] : bounds[k + 1]])
+                    terms = np.array(batch.column("terms")[start + k].as_py(), dtype=np.int64)
+                    lists = [np.flatnonzero(own == term) for term in terms]
+                    first = last = lists[0]
+                    alive = np.ones(len(first), bool)
+                    for more in lists[1:]:
+                        place = np.searchsorted(more, last, "right")
+                        alive &= place < len(more)
+                        last = more[np.minimum(place, len(more) - 1)] if len(more) else last
+                    good = alive & (last - first < len(lists) + slop)
+                    rows += [start + k] * int(good.sum())
+                    starts += first[good].tolist()
             where = pa.array(rows, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("item_id").take(where), batch.column("doc_id").take(where), pa.array(starts, pa.int32())],
-                ["phrase_id", "doc_id", "start"],
-            )
+            columns = [batch.column("item_id").take(where), batch.column("doc_id").take(where), pa.array(starts, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["phrase_id", "doc_id", "start"])
 
-    kind = phrases.schema["phrase_id"].dataType.simpleString()
-    return found.mapInArrow(run, f"phrase_id {kind}, doc_id long, start int")
+    texts = docs.select("doc_id", concerned.slot(F.col("doc_id")).alias("slot"), "text").mapInArrow(narrow, "doc_id long, text string")
+    return texts.join(wanted, "doc_id").select("doc_id", "item_id", "terms", "text").mapInArrow(run, schema)

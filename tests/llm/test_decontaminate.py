@@ -88,6 +88,46 @@ def test_proximity(spark):
     assert got == [("p", 1, 1), ("r", 1, 0)]
 
 
+def plain_proximity(docs, phrases, slop):
+    out = []
+    for phrase_id, phrase in phrases:
+        wanted = words(phrase)
+        for doc_id, text in docs:
+            own = words(text)
+            for first in range(len(own)) if wanted and doc_id is not None else ():
+                last, alive = first, own[first] == wanted[0]
+                for term in wanted[1:]:
+                    last = next((k for k in range(last + 1, len(own)) if own[k] == term), None) if alive else last
+                    alive = alive and last is not None
+                    last = last or 0
+                if alive and last - first < len(wanted) + slop:
+                    out.append((phrase_id, doc_id, first))
+    return sorted(out)
+
+
+def test_proximity_equals_brute_force(spark):
+    draw = random.Random(3)
+    vocabulary = ["the", "the", "the", "of", "of", "red", "fox", "quick", "rare"]
+    docs = [(k, " ".join(draw.choices(vocabulary, k=draw.randrange(0, 25)))) for k in range(60)] + [(None, "the red fox"), (70, None)]
+    docs += [(5, "the quick red of fox"), (71, "the " * 3000 + "red x fox")]
+    phrases = [("a", "the red fox"), ("b", "red red"), ("c", "rare the of"), ("d", "the"), ("e", ""), ("f", None), ("g", "missing the"), ("h", "the red fox")]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    p = spark.createDataFrame(phrases, "phrase_id string, text string")
+    for slop in (0, 2):
+        got = sorted((r.phrase_id, r.doc_id, r.start) for r in decontaminate.proximity_matches(d, p, slop).collect())
+        assert got == plain_proximity(docs, phrases, slop)
+
+
+def test_proximity_reads_the_lists_of_the_rarest_terms(spark, monkeypatch):
+    asked = []
+    whole = decontaminate.positional_index
+    monkeypatch.setattr(decontaminate, "positional_index", lambda docs, terms: asked.append(terms.count()) or whole(docs, terms))
+    d = spark.createDataFrame([(k, f"a b c d e word{k}") for k in range(20)], "doc_id long, text string")
+    p = spark.createDataFrame([(1, "a b c d e word7")], "phrase_id int, text string")
+    assert [tuple(r) for r in decontaminate.proximity_matches(d, p).collect()] == [(1, 7, 0)]
+    assert asked == [decontaminate.ANCHORS]
+
+
 def test_different_long_words_are_no_hit(spark):
     from test_shingles import parity_words
 
