@@ -101,12 +101,12 @@ def longest_document(spark, folder):
 
 @query
 def stored_sources(spark, folder):
-    """The sources saved as a managed table of a schema of their own, and read back by name."""
+    """The sources saved as a table of a schema of their own, with files in the scratch folder, and read back by name."""
     before = spark.catalog.currentDatabase()
     try:
         schema = tables.use_namespace(spark, "lorespan_queries")
         name = f"{schema}.sources_{md5(folder.encode()).hexdigest()[:12]}"  # the same in every process
-        tables.save_table(_sources(spark, folder), name)
+        tables.save_table(_sources(spark, folder), name, path=scratch_path(spark, "sources"))
         return spark.table(name)
     finally:
         spark.catalog.setCurrentDatabase(before)
@@ -207,7 +207,7 @@ def bucketed_index(spark, folder):
     before = spark.catalog.currentDatabase()
     try:
         name = f"{tables.use_namespace(spark, 'lorespan_queries')}.chunks_{md5(folder.encode()).hexdigest()[:12]}"
-        index_store.save_index_table(index_store.build_index(_sources(spark, folder), fixed.DEMO_CHUNK_SIZE, fixed.DEMO_CHUNK_OVERLAP), name, 8)
+        index_store.save_index_table(index_store.build_index(_sources(spark, folder), fixed.DEMO_CHUNK_SIZE, fixed.DEMO_CHUNK_OVERLAP), name, 8, scratch_path(spark, "chunks"))
         stored = spark.table(name)
     finally:
         spark.catalog.setCurrentDatabase(before)

@@ -35,9 +35,11 @@ def use_namespace(spark: SparkSession, schema: str, catalog: str | None = None)
     return f"{spark.catalog.currentCatalog()}.{schema}"
 
 
-def save_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
-    """Replace a managed table, schema included."""
+def save_table(df: DataFrame, name: str, partition_by: list[str] | None = None, path: str | None = None) -> None:
+    """Replace a table, schema included: a managed one, or one whose files are at ``path``."""
     writer = df.write.mode("overwrite").format("parquet")
+    if path:
+        writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
