@@ -3,15 +3,18 @@
 A text is cut into runs of word characters and runs of others. An entry is a sequence of such runs that begins and
 ends with a word; a trie over runs finds the longest entry at every word, without regard to case, and of overlapping ones the
 leftmost counts. Small dictionaries become an expression. Larger ones are sent to the tasks in blocks of
-bounded size, dealt by the first word, so that all entries that can begin at a word are in one block; texts stay where they are
-read and carry what was found from block to block.
+bounded size, dealt by the first word, so that all entries that can begin at a word are in one block. A pass over the texts seeks
+as many blocks as are together of bounded size, in pieces of the texts of bounded size; texts stay where they are read and carry
+what was found from pass to pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -23,6 +26,8 @@ from lorespan.session import materialize
 #: Entries up to which a dictionary is an expression, and up to which its chains are followed by the driver.
 LITERAL_ENTRIES, DRIVER_ENTRIES = 100, 10_000
 BLOCK_BYTES = 32 << 20
+#: Entries that one pass over the texts looks for, as plain rows, at least one block; and bytes of texts that are cut together.
+PASS_BYTES, TEXT_BYTES = 32 << 20, 1 << 20
 
 _FOUND = "array<struct<at:int,n:int,value:string>>"
 
@@ -44,49 +49,90 @@ def cleaned(dictionary: DataFrame) -> DataFrame:
     )
 
 
-def _blocks(entries: DataFrame, size, block_bytes: int) -> list[DataFrame]:
+def _passes(entries: DataFrame, size, block_bytes: int) -> list[DataFrame]:
+    """Entries dealt to blocks by their first words, column ``block``, in passes of at most about ``PASS_BYTES``."""
     total = entries.agg(F.sum(size)).first()[0] or 0
     count = max(1, -(-total // block_bytes))
+    passes = min(count, max(1, -(-total // max(block_bytes, PASS_BYTES))))
     first = F.regexp_extract("word", r"^[\p{L}\p{N}_]+", 0)
-    return [entries if count == 1 else entries.where(F.pmod(F.xxhash64(first), F.lit(count)) == at) for at in range(count)]
+    dealt = entries.withColumn("block", F.pmod(F.xxhash64(first), F.lit(count)))
+    return [dealt if passes == 1 else dealt.where(F.col("block") % passes == at) for at in range(passes)]
 
 
-def _marked(df: DataFrame, column: str, entries: DataFrame, value: str, block_bytes: int, allowed: str | None = None) -> tuple[DataFrame, str]:
+def _marked(df: DataFrame, column: str, entries: DataFrame, value: str, block_bytes: int, allowed: str | None = None, splice: bool = False) -> tuple[DataFrame, str]:
     """``df`` with a column of the entries found in ``column``: leftmost, longest, none overlapping; and its name.
 
     ``entries``: ``word`` and ``value``. ``allowed`` names a column of both that decides: only entries with a greater value
-    than the row's count.
+    than the row's count. With ``splice`` the last pass puts the values into the text and adds no column.
+
+    Blocks of together ``PASS_BYTES`` are sought in one pass, so their number does not say how often texts are read
+    and written.
     """
     mark = "found"
     while mark in df.columns:
         mark += "_"
-    marked = df.withColumn(mark, F.array().cast(_FOUND))
     size = F.octet_length("word") + F.octet_length(F.col(value).cast("string")) + F.lit(100)
-    blocks = _blocks(entries, size, block_bytes)
-    for at, block in enumerate(blocks):
-        rows = [(r["word"], r["value"], r["rank"]) for r in block.select("word", F.col(value).alias("value"), (F.col(allowed) if allowed else F.lit(0)).alias("rank")).collect()]
-        sent = df.sparkSession.sparkContext.broadcast(rows)
-        marked = marked.mapInArrow(_finder(sent, column, mark, allowed, at + 1 == len(blocks)), marked.schema)
-        if at + 1 < len(blocks):
+    passes = _passes(entries, size, block_bytes)
+    marked = df if splice and len(passes) == 1 else df.withColumn(mark, F.array().cast(_FOUND))
+    for at, part in enumerate(passes):
+        rows = part.select("block", "word", F.col(value).alias("value"), (F.col(allowed) if allowed else F.lit(0)).alias("rank")).collect()
+        blocks: dict[int, list] = {}
+        for r in rows:
+            blocks.setdefault(r["block"], []).append((r["word"], r["value"], r["rank"]))
+        sent = df.sparkSession.sparkContext.broadcast(list(blocks.values()))
+        last = at + 1 == len(passes)
+        schema = df.schema if splice and last else marked.schema
+        marked = marked.mapInArrow(_finder(sent, column, mark, allowed, last, splice and last), schema)
+        if not last:
             marked = materialize(marked, "marked")
     return marked, mark
 
 
-def _finder(sent, column: str, mark: str, allowed: str | None, last: bool) -> Callable:
+def _pieces(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """A batch cut where its texts pass ``TEXT_BYTES``, so that what a task holds does not follow the length of texts."""
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)).cast(pa.int64()), 0)).to_numpy()
+    at = 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TEXT_BYTES, side="right"))
+        end = min(max(end, at + 1), batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def _finder(sent, column: str, mark: str, allowed: str | None, last: bool, splice: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = txt.RunTrie((word, (value, rank)) for word, value, rank in sent.value)
-        for batch in batches:
-            at = batch.schema.get_field_index(mark)
-            ranks = batch.column(allowed).to_pylist() if allowed else None
-            out = []
-            for row, (text, before) in enumerate(zip(batch.column(column).to_pylist(), batch.column(mark).to_pylist())):
-                least = None if ranks is None else ranks[row]
-                found = [(k, n, v[0]) for k, n, v in trie.matches(text or "", None if least is None else lambda v: v[1] > least)]
-                found = sorted([(b["at"], b["n"], b["value"]) for b in before] + found)
-                out.append([dict(zip(("at", "n", "value"), f)) for f in (txt.leftmost(found) if last else found)])
-            columns = list(batch.columns)
-            columns[at] = pa.array(out, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+        tries = [txt.RunTrie((word, (value, rank)) for word, value, rank in block) for block in sent.value]
+        owner = {head: at for at, trie in enumerate(tries) for head in trie.root}  # a first word is in one block
+        for whole in batches:
+            for batch in _pieces(whole, column):
+                texts = [text or "" for text in batch.column(column).to_pylist()]
+                ranks = batch.column(allowed).to_pylist() if allowed else None
+                at = batch.schema.get_field_index(mark)
+                found = [[(b["at"], b["n"], b["value"]) for b in before] for before in batch.column(mark).to_pylist()] if at >= 0 else [[] for _ in texts]
+                runs = [txt.word_runs(text) for text in texts]
+                lowered = [[run.lower() for run in cut] for cut in runs]
+                for row, cut in enumerate(lowered):
+                    places: dict[int, list[int]] = {}
+                    for k, head in enumerate(cut):
+                        block = owner.get(head)
+                        if block is not None:
+                            places.setdefault(block, []).append(k)
+                    least = None if ranks is None else ranks[row]
+                    counts = None if least is None else lambda v: v[1] > least  # noqa: B023
+                    for block, own in places.items():
+                        found[row] += [(k, n, v[0]) for k, n, v in tries[block].matches_in(cut, counts, own)]
+                out = [txt.leftmost(sorted(f)) if last else sorted(f) for f in found]
+                if splice:
+                    new = [None if not f else txt.splice_runs(cut, f) for cut, f in zip(runs, out)]
+                    kept = batch.column(column)
+                    changed = pa.array([f is not None for f in new])
+                    text = pc.if_else(changed, pa.array(new, kept.type), kept)
+                    pairs = [(n, text if n == column else c) for n, c in zip(batch.schema.names, batch.columns) if n != mark]
+                    yield pa.RecordBatch.from_arrays([c for _, c in pairs], [n for n, _ in pairs])
+                else:
+                    columns = list(batch.columns)
+                    columns[at] = pa.array([[dict(zip(("at", "n", "value"), f)) for f in row] for row in out], batch.schema.field(at).type)
+                    yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     return run
 
@@ -105,9 +151,8 @@ def _spliced(column: str, mark: str) -> Callable:
 
 
 def replaced_in_blocks(df: DataFrame, column: str, replacements: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Texts with their entries replaced by ``word, replacement``, read and changed in place; a task holds one block."""
-    marked, mark = _marked(df, column, replacements, "replacement", block_bytes)
-    return marked.mapInArrow(_spliced(column, mark), df.schema)
+    """Texts with their entries replaced by ``word, replacement``, read and changed in place; a task holds the tries of one pass."""
+    return _marked(df, column, replacements, "replacement", block_bytes, splice=True)[0]
 
 
 def replacement_table(dictionary: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:

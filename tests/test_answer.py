@@ -255,3 +255,46 @@ def test_texts_of_many_hits(spark, index, monkeypatch):
     monkeypatch.setattr(lookup, "FILTER_BITS", 64)
     assert sorted(map(tuple, retrieve.retrieve(asked, index, 2).collect())) == few
     assert len(few) == 6
+
+
+def test_texts_are_read_once_however_many_blocks(spark):
+    """Blocks of one pass: no text is written between them, and many passes give the same."""
+    df = spark.range(100).selectExpr("CONCAT('w', id % 7, ' w', id % 11, ' end') AS t")
+    words = {f"w{k} w{k + 1}": "two" for k in range(10)} | {f"w{k}": "one" for k in range(0, 10, 2)}
+    entries = spark.createDataFrame([(k, a, t) for k, (a, t) in enumerate(words.items())], "position int, abbreviation string, full_text string")
+    got = dictionary.expand_with_table(df, "t", entries, limit=1, block_bytes=100)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Range" in plan and "FileScan" not in plan
+    wanted = sorted(longest_first(r["t"], txt.expansion_table(words)) for r in df.collect())
+    assert sorted(r["t"] for r in got.collect()) == wanted
+
+
+def test_many_passes_over_the_texts(spark, monkeypatch):
+    monkeypatch.setattr(dictionary, "PASS_BYTES", 300)
+    df = spark.range(60).selectExpr("CONCAT('w', id % 7, ' w', id % 11, ' end') AS t")
+    words = {f"w{k} w{k + 1}": "two" for k in range(10)} | {f"w{k}": "one" for k in range(0, 10, 2)}
+    entries = spark.createDataFrame([(k, a, t) for k, (a, t) in enumerate(words.items())], "position int, abbreviation string, full_text string")
+    got = dictionary.expand_with_table(df, "t", entries, limit=1, block_bytes=100)
+    assert sorted(r["t"] for r in got.collect()) == sorted(longest_first(r["t"], txt.expansion_table(words)) for r in df.collect())
+
+
+def test_batches_are_cut_by_the_bytes_of_their_texts(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(dictionary, "TEXT_BYTES", 100)
+    texts = ["x" * 30, None, "y" * 500, "", "z" * 60, "z" * 39, "z" * 2] * 3
+    parts = list(dictionary._pieces(pa.RecordBatch.from_pydict({"t": texts}), "t"))
+    assert [t for part in parts for t in part.column("t").to_pylist()] == texts
+    assert all(part.num_rows == 1 or sum(len(t or "") for t in part.column("t").to_pylist()) <= 100 for part in parts)
+    assert list(dictionary._pieces(pa.RecordBatch.from_pydict({"t": pa.array([], pa.string())}), "t")) == []
+
+
+def test_alternatives_share_their_beginnings(spark):
+    keys = [f"{a} {b}{tail}" for a in ("the", "then", "Ä-ö", "a+b") for b in ("end", "ends", "x.y") for tail in ("", " of", " of all")]
+    table = {k.lower(): f"<{k}>" for k in keys} | {f"w{k}": f"<{k}>" for k in range(100)}
+    pattern = txt.prefix_tree_pattern(k for k in table if " " in k)
+    assert pattern.count("the") == 1 and pattern.count("all") == 12 < len(keys) / 2
+    texts = ["The END of allx", "then ends of all the end OF", "ä-Ö X.Y of a+B end w7 W99 w100 the x.y, then", "the endsof", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(2)
+    got = df.select(txt.replace_entries(F.col("t"), table).alias("t"))
+    assert sorted(r["t"] for r in got.collect()) == sorted(longest_first(t, table) for t in texts)
