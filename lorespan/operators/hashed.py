@@ -2,8 +2,8 @@
 
 A table of the hash is a few random planes through the middle of the vectors; a vector's code in it is the side of each
 plane it lies on. A question asks for its own code and for the neighbouring ones, those of the planes it is
-closest to first. Questions and vectors that share a table and a code are pairs, found by an equality join of narrow
-rows; distinct pairs are ranked by exact distances.
+closest to first. No pair becomes a row: blocks of questions go to the tasks, which sort the vectors they read by their
+codes, table by table, and compare those of a code with the questions that ask for it. Exact distances decide.
 
 How many codes a question asks for is fitted: for a bounded sample of questions the exact hits are found, and the smallest number
 that reaches ``FITTED`` of them is taken. The recall of that sample is returned with every row.
@@ -13,24 +13,25 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from lorespan.operators import knn
-from lorespan.operators.knn import MICRO, matrix_of
-from lorespan.session import materialize
+from lorespan.operators.knn import NearestK, _hit_batches, matrix_of
+from lorespan.session import materialize, spread
 
 TABLES, SEED = 6, 17
 #: Vectors of a code on average; the number of planes follows the number of vectors.
 CODE_ROWS, MOST_PLANES = 128, 16
 #: Questions whose exact hits are found (those with the smallest hashes of their ids), and the share of hits to reach.
 SAMPLE_QUESTIONS, FITTED, RECALL = 512, 0.95, 0.9
-#: Rows of a code that one task joins at most: codes that hold more are split by the vector's id.
-SPLIT_ROWS = 4096
+#: Vectors that a task sorts by their codes at a time, and values of a matrix of costs.
+HELD_ROWS, COST_VALUES = 1 << 16, 1 << 22
 
 
 @dataclass(frozen=True)
@@ -48,6 +49,20 @@ class Planes:
         """The code of every row in every table."""
         return (self.margins(x) > 0) @ (1 << np.arange(self.normals.shape[1]))
 
+    def costs(self, x: np.ndarray) -> np.ndarray:
+        """What a row pays to ask for the code that flips the given planes: rows x tables x flips."""
+        flips = np.arange(1 << self.normals.shape[1])
+        return (self.margins(x) ** 2) @ ((flips[:, None] >> np.arange(self.normals.shape[1])) & 1).T.astype(float)
+
+    def cost_of(self, margins: np.ndarray, code: int) -> np.ndarray:
+        """What rows pay to ask for a code of one table, from their margins in it."""
+        bits = ((int(code) >> np.arange(margins.shape[1])) & 1).astype(bool)
+        return np.where((margins > 0) != bits, margins**2, 0.0).sum(axis=1)
+
+    def rows_together(self) -> int:
+        """Rows whose costs are held at a time."""
+        return max(1, COST_VALUES // (self.normals.shape[0] << self.normals.shape[1]))
+
     def asked(self, x: np.ndarray) -> np.ndarray:
         """All codes of every table, rows x tables x codes, in the order a row asks for them: least margins flipped first."""
         planes = self.normals.shape[1]
@@ -69,22 +84,57 @@ def fit_planes(vectors: DataFrame, rows: int, tables: int = TABLES) -> Planes:
     return Planes(normals / np.linalg.norm(normals, axis=2, keepdims=True), middle)
 
 
-def _coded(df: DataFrame, planes: Planes, name: str, vector: str, probes: int | None) -> DataFrame:
-    """``table, code, <name>`` of every row; of questions the first ``probes`` codes of every table."""
+def _with_limits(left: DataFrame, planes: Planes, probes: int) -> DataFrame:
+    """Questions with ``limits``: per table the cost up to which they ask for codes, that of the last of ``probes``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = planes.rows_together()
+        for batch in batches:
+            for a in range(0, batch.num_rows, step):
+                rows = batch.slice(a, step)
+                costs = planes.costs(matrix_of(rows.column("qvec"), rows.column("qid")).astype(np.float64))
+                limits = np.partition(costs, probes - 1, axis=2)[:, :, probes - 1]
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(list(limits))], [*rows.schema.names, "limits"])
+
+    return left.mapInArrow(run, StructType([*left.schema.fields, StructField("limits", ArrayType(DoubleType()))]))
+
+
+def _search_by_codes(block: pa.Table, right: DataFrame, k: int, planes: Planes, schema: StructType) -> DataFrame:
+    """One pass over the vectors with the questions broadcast."""
+    ids = block.column("qid").combine_chunks()
+    limits = np.array(block.column("limits").combine_chunks().flatten()).reshape(len(ids), planes.normals.shape[0])
+    shared = right.sparkSession.sparkContext.broadcast((ids, matrix_of(block.column("qvec"), ids), limits))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        question_ids, matrix, most = shared.value
+        best = NearestK(matrix, k)
+        margins = planes.margins(matrix.astype(np.float64)) if len(matrix) else None
+
+        def offer(held: list[pa.RecordBatch]) -> None:
+            vids = pa.concat_arrays([b.column("vid") for b in held])
+            x = np.concatenate([matrix_of(b.column("vvec"), b.column("vid")) for b in held])
+            codes = planes.codes(x.astype(np.float64))
+            for table in range(codes.shape[1]):
+                order = np.argsort(codes[:, table], kind="stable")
+                found, starts = np.unique(codes[order, table], return_index=True)
+                for code, a, b in zip(found, starts, [*starts[1:], len(order)]):
+                    asking = np.flatnonzero(planes.cost_of(margins[:, table], code) <= most[:, table] * (1 + 1e-12))
+                    if len(asking):
+                        best.offer_to(asking, x[order[a:b]], vids.take(pa.array(order[a:b])))
+
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for a in range(0, batch.num_rows, 1024):
-                rows = batch.slice(a, 1024)
-                x = matrix_of(rows.column(vector), rows.column(name)).astype(np.float64)
-                codes = planes.codes(x)[:, :, None] if probes is None else planes.asked(x)[:, :, :probes]
-                n, tables, each = codes.shape
-                table = np.tile(np.repeat(np.arange(tables, dtype=np.int32), each), n)
-                ids = rows.column(name).take(pa.array(np.repeat(np.arange(n), tables * each)))
-                yield pa.RecordBatch.from_arrays([pa.array(table), pa.array(codes.ravel().astype(np.int32)), ids], ["table", "code", name])
+            if batch.num_rows and len(matrix):
+                held.append(batch)
+                if sum(b.num_rows for b in held) >= HELD_ROWS:
+                    offer(held)
+                    held = []
+        if held:
+            offer(held)
+        if best.pending:
+            yield from _hit_batches(best, question_ids).to_batches(max_chunksize=10_000)
 
-    schema = StructType([StructField("table", IntegerType()), StructField("code", IntegerType()), df.schema[name]])
-    return df.mapInArrow(run, schema)
+    return spread(right, "vid").mapInArrow(search, schema)
 
 
 def hashed_knn(
@@ -95,6 +145,7 @@ def hashed_knn(
     vector_id: str = "chunk_id",
     embedding: str = "embedding",
     least_recall: float = RECALL,
+    broadcast_bytes: int = knn.BROADCAST_BYTES,
 ) -> DataFrame:
     """Up to k near vectors of each question: ``question_id, rank, vector_id, distance, recall``.
 
@@ -109,28 +160,19 @@ def hashed_knn(
     exact = materialize(knn.knn_join(chosen, right, k, "qid", "vid", embedding="qvec", vector_embedding="vvec"), "exact")
     probes = _probes(left, right, exact, planes)
 
-    asked = _coded(left, planes, "qid", "qvec", probes)
-    codes = materialize(_coded(right, planes, "vid", "vvec", None), "codes")
-    # Codes that hold very many vectors are split, and what asks for them is repeated for every part.
-    sizes = codes.groupBy("table", "code").agg(F.ceil(F.count("*") / F.lit(SPLIT_ROWS)).cast("int").alias("parts"))
-    parts = F.broadcast(sizes)  # a row a code: at most TABLES * 2 ** MOST_PLANES
-    codes = codes.join(parts, ["table", "code"]).withColumn("part", F.pmod(F.xxhash64("vid"), F.col("parts")).cast("int")).drop("parts")
-    asked = asked.join(parts, ["table", "code"]).select("table", "code", "qid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    pairs = asked.join(codes, ["table", "code", "part"]).select("qid", "vid").distinct()
-    both = pairs.join(left, "qid").join(right, "vid")
-
-    def distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            gap = matrix_of(batch.column("qvec"), batch.column("qid")).astype(np.float64)
-            if len(gap):
-                gap = gap - matrix_of(batch.column("vvec"), batch.column("vid"))
-                micros = np.floor(np.einsum("ij,ij->i", gap, gap) * MICRO + 0.5).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column("qid"), batch.column("vid"), pa.array(micros)], ["question_id", "id", "micros"])
-
+    left = materialize(_with_limits(left, planes, probes), "asked")
     schema = StructType(
         [StructField("question_id", left.schema["qid"].dataType), StructField("id", right.schema["vid"].dataType), StructField("micros", LongType())]
     )
-    near = materialize(knn.ranked(both.mapInArrow(distances, schema), k, "qid", "vid"), "near")
+    size = left.agg(F.sum(F.size("qvec") * 4 + F.size("limits") * 8 + F.octet_length(F.col("qid").cast("string")) + 16)).first()[0] or 0
+    blocks = max(1, -(-size // broadcast_bytes))
+    found = []
+    for block in range(blocks):
+        own = left if blocks == 1 else left.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == block)
+        part = own.toArrow()
+        if part.num_rows or blocks == 1:
+            found.append(_search_by_codes(part, right, k, planes, schema))
+    near = materialize(knn.ranked(reduce(DataFrame.unionByName, found), k, "qid", "vid"), "near")
     met = exact.join(near.select("qid", "vid"), ["qid", "vid"], "left_semi").count()
     recall = met / max(exact.count(), 1)
     if recall < least_recall and not exact.isEmpty():
@@ -143,7 +185,10 @@ def _probes(left: DataFrame, right: DataFrame, exact: DataFrame, planes: Planes)
     hits = exact.select("qid", "vid").join(left, "qid").join(right, "vid").toArrow()  # hits of the sample
     if not hits.num_rows:
         return 1
-    asked = planes.asked(matrix_of(hits.column("qvec"), hits.column("qid").combine_chunks()).astype(np.float64))
+    asking = matrix_of(hits.column("qvec"), hits.column("qid").combine_chunks()).astype(np.float64)
     codes = planes.codes(matrix_of(hits.column("vvec"), hits.column("vid").combine_chunks()).astype(np.float64))
-    first = (asked == codes[:, :, None]).argmax(axis=2).min(axis=1) + 1
+    step = planes.rows_together()
+    first = np.concatenate(
+        [(planes.asked(asking[a : a + step]) == codes[a : a + step, :, None]).argmax(axis=2).min(axis=1) + 1 for a in range(0, len(codes), step)]
+    )
     return int(np.quantile(first, FITTED, method="higher"))
