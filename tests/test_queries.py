@@ -51,3 +51,21 @@ def test_scans_are_pruned_and_filtered(spark, folder):
     assert "EqualTo(role,assistant)" in plan
     plan = entry.queries()["latest_version"](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<doc_id:bigint,source:string>" in plan
+
+
+SEARCHES = ["knn_vectors", "knn_vectors_by_blocks", "knn_vectors_bounded", "knn_vectors_pivots", "knn_vectors_hashed"]
+
+
+@pytest.mark.parametrize("name", SEARCHES)
+def test_searches_ask_for_every_fiftieth_row(spark, folder, name):
+    ids = {r["vec_id"] for r in spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id").collect()}
+    got = entry.queries()[name](spark, folder)
+    assert {r["query_id"] for r in got.collect()} == {i for i in ids if i % 50 == 0}
+
+
+@pytest.mark.parametrize("name", ["retrieve_documents", "render_prompts"])
+def test_chunk_searches_ask_for_every_fiftieth_conversation(spark, folder, name):
+    turns = spark.read.parquet(f"{folder}/conversations.parquet").where("role = 'user' AND conv_id % 50 = 0")
+    wanted = {f"{r['conv_id']}-{r['turn']}" for r in turns.collect()}
+    got = {r["question_id"] for r in entry.queries()[name](spark, folder).collect()}
+    assert wanted and got == wanted
