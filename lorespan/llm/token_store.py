@@ -21,14 +21,16 @@ from pyspark.sql import functions as F
 
 from lorespan.llm.common import list_array
 from lorespan.llm.shingles import blocks, byte_hashes, string_parts
-from lorespan.session import scratch_path
+from lorespan.session import arrow_batches, materialize, scratch_path
 
 END_ID = 1
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2_000
 #: Bytes of text in one range of documents, at most on average.
 RANGE_BYTES = 64 << 20
-#: Pieces whose ids a task remembers, pieces encoded in one call, and characters cut at a time.
-REMEMBERED, PIECES_AT_ONCE, CHARACTERS_AT_ONCE = 1 << 19, 256, 1 << 21
+#: Bytes of texts, or of tokens, that a task gets in one batch.
+BATCH_BYTES = 4 << 20
+#: Pieces, and words of other texts, whose ids a task remembers; pieces encoded in one call, and characters cut at a time.
+REMEMBERED, WORDS_REMEMBERED, PIECES_AT_ONCE, CHARACTERS_AT_ONCE = 1 << 19, 1 << 16, 256, 1 << 20
 
 _BLANK = re.compile(r"[ \t\n\r]+")
 _BEYOND_LATIN = re.compile(r"[^\x00-\xff]")
@@ -88,8 +90,8 @@ class Encoder:
         self.words: dict[str, np.ndarray] = {}
         # Pieces sorted by hash: length, first bytes, how often met, and where their ids are.
         self.hash = np.zeros(0, np.uint64)
-        self.size, self.head, self.met = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.size, self.head, self.met = np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.int32)
 
     def _one(self, text: str) -> np.ndarray:
@@ -123,11 +125,15 @@ class Encoder:
         self._forget(len(new))
         starts = len(self.ids) + np.cumsum(counts) - counts
         self.ids = np.concatenate([self.ids, ids])
-        added = {"hash": hashes[new], "size": sizes[new], "head": heads[new], "met": np.zeros(len(new), np.int64), "start": starts, "count": counts}
-        joined = {name: np.concatenate([getattr(self, name), values]) for name, values in added.items()}
-        order = np.argsort(joined["hash"], kind="stable")
-        for name, values in joined.items():
-            setattr(self, name, values[order])
+        added = {"size": sizes[new], "head": heads[new], "met": 0, "start": starts, "count": counts, "hash": hashes[new]}
+        # Both are sorted, so places are known; one column after the other, as copies of all at once would be much memory.
+        at = np.searchsorted(self.hash, added["hash"], "right") + np.arange(len(new))
+        before = np.ones(len(self.hash) + len(new), dtype=bool)
+        before[at] = False
+        for name, values in added.items():
+            merged = np.empty(len(before), getattr(self, name).dtype)
+            merged[before], merged[at] = getattr(self, name), values
+            setattr(self, name, merged)
         return self._known(hashes, sizes, heads, texts)
 
     def _forget(self, coming: int) -> None:
@@ -183,7 +189,7 @@ class Encoder:
     def _other(self, text: str) -> np.ndarray:
         """Ids of any text, word by word."""
         words = _BLANK.split(text)
-        if len(self.words) > self.remembered:
+        if len(self.words) > min(self.remembered, WORDS_REMEMBERED):
             self.words.clear()
         for word in words:
             if word not in self.words:
@@ -277,7 +283,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, range
                 )
 
     schema = "doc_id long, part int, part_start long, n_tokens int, tokens array<int>"
-    (
+    writer = (
         dealt.mapInArrow(run, schema)
         .write.option("parquet.writer.version", "PARQUET_2_0")
         .option("parquet.enable.dictionary", "true")
@@ -285,8 +291,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, range
         .option("parquet.page.size", str(PAGE_BYTES))
         .option("parquet.page.row.count.limit", str(PAGE_ROWS))
         .option("compression", "zstd")
-        .parquet(path)
     )
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        writer.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -314,8 +321,8 @@ def digests(tokens: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("tokens")
-            ends, values = lists.offsets.to_numpy(), lists.values.to_numpy().astype("<u4")
-            sums = [crc32(values[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:])]
+            ends, values = lists.offsets.to_numpy(), lists.values.to_numpy().astype("<i4", copy=False)
+            sums = [crc32(values[a:b]) for a, b in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("start"), pa.array(np.diff(ends).astype(np.int64)), pa.array(sums, pa.int64())],
                 ["doc_id", "start", "n_tokens", "ids_crc32"],
@@ -329,4 +336,5 @@ def round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     spark = docs.sparkSession
     path = scratch_path(spark, "tokens")
     write_tokens(docs, path, tokenizer)
-    return digests(read_tokens(spark, path))
+    with arrow_batches(spark, BATCH_BYTES):
+        return materialize(digests(read_tokens(spark, path)), "token-digests")

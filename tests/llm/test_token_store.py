@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lorespan.llm import token_store
+from lorespan.session import ARROW_BATCH_BYTES
 
 tokenizers = pytest.importorskip("tokenizers")
 
@@ -101,3 +102,30 @@ def test_files_are_sorted_encoded_and_indexed(spark, tmp_path):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert token_store.round_trip(df).collect() == []
+
+
+def test_tasks_get_small_batches(spark, monkeypatch, tmp_path):
+    seen, whole_blocks, before = str(tmp_path / "seen"), token_store.blocks, spark.conf.get(ARROW_BATCH_BYTES)
+
+    def noting(offsets, limit):
+        with open(seen, "a") as file:
+            file.write(f"{int(offsets[-1])}\n")
+        return whole_blocks(offsets, limit)
+
+    monkeypatch.setattr(token_store, "blocks", noting)
+    df = spark.range(4000).selectExpr("id AS doc_id", "repeat('some words ', 500) AS text")
+    token_store.write_tokens(df, str(tmp_path / "tokens"), ranges=1)
+    sizes = [int(line) for line in open(seen)]
+    assert sum(sizes) == 4000 * 5500 and max(sizes) < 2 * token_store.BATCH_BYTES
+    assert spark.conf.get(ARROW_BATCH_BYTES) == before
+
+
+def test_memory_of_pieces_is_narrow_and_sorted(whole):
+    encoder = token_store.Encoder(token_store.default_tokenizer())
+    for a in range(0, 3000, 500):
+        text = " ".join(f"w{'abcdefghij'[k % 10]}{'qrstuvwxyz'[k // 10 % 10]}{'klmnopqrst'[k // 100 % 10]}{k // 1000}" for k in range(a, a + 700))
+        ids, _ = encoder.ids_of([text])
+        assert ids.tolist()[:-1] == whole.encode(text, add_special_tokens=False).ids
+    assert (np.diff(encoder.hash.astype(object)) > 0).all()
+    columns = (encoder.hash, encoder.size, encoder.head, encoder.met, encoder.start, encoder.count)
+    assert sum(c.itemsize for c in columns) <= 36 and len({len(c) for c in columns}) == 1
