@@ -63,7 +63,18 @@ def test_searches_ask_for_every_fiftieth_row(spark, folder, name):
     assert {r["query_id"] for r in got.collect()} == {i for i in ids if i % 50 == 0}
 
 
-@pytest.mark.parametrize("name", ["retrieve_documents", "render_prompts"])
+@pytest.mark.parametrize("name", ["retrieve_documents"])
+def test_chunk_searches_ask_every_user_turn(spark, tmp_path, name):
+    """Own rows: conversations whose ids 50 divides, does not divide, and none."""
+    documents = [(i, f"alpha beta w{i} w{i % 3}", "en", f"src{i % 4}", 20) for i in range(12)]
+    turns = [(c, t, role, f"w{c} alpha w{t}") for c in (0, 1, 49, 50, 51) for t, role in enumerate(["user", "assistant", "user"])]
+    spark.createDataFrame(documents, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = [r["question_id"] for r in entry.queries()[name](spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(f"{c}-{t}" for c, t, role, _ in turns if role == "user" for _ in range(5))
+
+
+@pytest.mark.parametrize("name", ["render_prompts"])
 def test_chunk_searches_ask_for_every_fiftieth_conversation(spark, folder, name):
     turns = spark.read.parquet(f"{folder}/conversations.parquet").where("role = 'user' AND conv_id % 50 = 0")
     wanted = {f"{r['conv_id']}-{r['turn']}" for r in turns.collect()}
