@@ -27,6 +27,8 @@ from lorespan.session import materialize, slots
 CHOSEN_FROM, PIVOTS = 4096, 64
 #: Bytes of a row group, and ranges of reach a cell is asked for at most.
 ROW_GROUP_BYTES, RANGES = 1 << 20, 8
+#: Rows whose differences from a pivot are held together.
+_ROWS = 1024
 
 
 def choose_pivots(vectors: DataFrame, count: int = PIVOTS) -> np.ndarray:
@@ -44,8 +46,12 @@ def choose_pivots(vectors: DataFrame, count: int = PIVOTS) -> np.ndarray:
 
 
 def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """Distances of rows to pivots, by differences so that small ones are exact too."""
-    return np.stack([np.linalg.norm(x - p, axis=1) for p in pivots], axis=1)
+    """Distances of rows to pivots, by differences so that small ones are exact too; a few rows at a time."""
+    far = np.empty((len(x), len(pivots)))
+    for at in range(0, len(x), _ROWS):
+        for cell, p in enumerate(pivots):
+            far[at : at + _ROWS, cell] = np.linalg.norm(x[at : at + _ROWS] - p, axis=1)
+    return far
 
 
 def build(vectors: DataFrame, path: str, vector_id: str = "chunk_id", embedding: str = "embedding", pivots: int = PIVOTS) -> None:
@@ -83,6 +89,16 @@ def build(vectors: DataFrame, path: str, vector_id: str = "chunk_id", embedding:
     sample.write.mode("overwrite").parquet(f"{path}/sample")
 
 
+def _merged(low: np.ndarray, high: np.ndarray) -> list[list[float]]:
+    """Ranges that overlap or touch as one, in ascending order."""
+    if not len(low):
+        return []
+    order = np.argsort(low, kind="stable")
+    low, high = low[order], np.maximum.accumulate(high[order])
+    first = np.flatnonzero(np.r_[True, low[1:] > high[:-1]])
+    return [list(pair) for pair in zip(low[first].tolist(), high[np.r_[first[1:] - 1, len(high) - 1]].tolist())]
+
+
 def wanted_ranges(questions: np.ndarray, radius: np.ndarray, pivots: np.ndarray) -> dict[int, list[tuple[float, float]]]:
     """Ranges of reach, a few of every cell, outside of which no vector is within ``radius`` of its question."""
     far = _distances(questions, pivots)
@@ -92,12 +108,7 @@ def wanted_ranges(questions: np.ndarray, radius: np.ndarray, pivots: np.ndarray)
     for cell in range(len(pivots)):
         open_ = far[:, cell] - near <= 2 * radius + slack
         low, high = far[open_, cell] - radius[open_] - slack, far[open_, cell] + radius[open_] + slack
-        merged: list[list[float]] = []
-        for a, b in sorted(zip(low.tolist(), high.tolist())):
-            if merged and a <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], b)
-            else:
-                merged.append([a, b])
+        merged = _merged(low, high)
         while len(merged) > RANGES:  # close the smallest gap
             at = min(range(len(merged) - 1), key=lambda k: merged[k + 1][0] - merged[k][1])
             merged[at : at + 2] = [[merged[at][0], merged[at + 1][1]]]

@@ -114,3 +114,30 @@ def test_hashed_search_on_small_and_empty_tables(spark):
     assert hashed.hashed_knn(asked, index, 3).count() == 25 * 3
     with pytest.raises(ValueError, match="below"):
         hashed.hashed_knn(asked, index, 3, least_recall=1.1)
+
+
+def test_ranges_that_overlap_become_one():
+    def plain(pairs):
+        out = []
+        for a, b in sorted(pairs):
+            if out and a <= out[-1][1]:
+                out[-1][1] = max(out[-1][1], b)
+            else:
+                out.append([a, b])
+        return out
+
+    rng = np.random.default_rng(23)
+    for n, width in ((0, 1.0), (1, 1.0), (5, 0.5), (200, 0.002), (200, 0.05), (50, np.inf)):
+        low = rng.integers(0, 1000, n) / 1000 - (width if np.isinf(width) else 0)
+        high = low + width if np.isfinite(width) else np.full(n, np.inf)
+        assert pivot_index._merged(low, high) == plain(zip(low.tolist(), high.tolist()))
+
+
+def test_few_rows_are_held_against_a_pivot(monkeypatch):
+    """Millions of questions meet the pivots on the driver; what is held beside the distances is a few rows."""
+    x, pivots = np.random.default_rng(29).normal(size=(5000, 6)), np.random.default_rng(31).normal(size=(7, 6))
+    norm, most = np.linalg.norm, []
+    monkeypatch.setattr(pivot_index.np.linalg, "norm", lambda gap, axis: (most.append(len(gap)), norm(gap, axis=axis))[1])
+    far = pivot_index._distances(x, pivots)
+    monkeypatch.undo()
+    assert max(most) <= 1024 and np.array_equal(far, np.stack([norm(x - p, axis=1) for p in pivots], axis=1))
