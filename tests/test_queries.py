@@ -53,7 +53,7 @@ def test_scans_are_pruned_and_filtered(spark, folder):
     assert "ReadSchema: struct<doc_id:bigint,source:string>" in plan
 
 
-@pytest.mark.parametrize("name", ["knn_vectors", "knn_vectors_bounded", "knn_vectors_pivots"])
+@pytest.mark.parametrize("name", ["knn_vectors", "knn_vectors_by_blocks", "knn_vectors_bounded", "knn_vectors_pivots"])
 def test_searches_ask_every_row(spark, tmp_path, name):
     """Own rows: ids that 50 divides and others; every row is its own nearest one."""
     rows = [(i, [float(i % 7), float(i // 7)], 0) for i in (0, 1, 7, 49, 50, 51, 99, 100, 101, 120)]
@@ -63,7 +63,7 @@ def test_searches_ask_every_row(spark, tmp_path, name):
     assert {r["query_id"]: r["vec_id"] for r in got if r["rank"] == 1} == {i: i for i, _, _ in rows}
 
 
-@pytest.mark.parametrize("name", ["knn_vectors_by_blocks", "knn_vectors_hashed"])
+@pytest.mark.parametrize("name", ["knn_vectors_hashed"])
 def test_searches_ask_for_every_fiftieth_row(spark, folder, name):
     ids = {r["vec_id"] for r in spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id").collect()}
     got = entry.queries()[name](spark, folder)
